@@ -21,14 +21,18 @@ def latest_per_key(
     ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); raise that with a larger ``n``.
     """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
-    ordering = newest_first(order)
-    sliced = rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    in_slice = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*ordering))
-    kept = sliced.withColumn("_rank", in_slice).where(F.col("_rank") <= n).drop("_rank", "_slice")
-    overall = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
-    return kept.withColumn("rank", overall).where(F.col("rank") <= n)
+    if slices > 1:
+        rows = rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+        rows = _top(rows, (*keys, "_slice"), n, order, "_rank").drop("_rank", "_slice")
+    return _top(rows, keys, n, order, "rank")
+
+
+def _top(rows: DataFrame, keys: tuple[str, ...], n: int, order: tuple[str, ...], name: str) -> DataFrame:
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first(order)))
+    return rows.withColumn(name, position).where(F.col(name) <= n)
 
 
 def newest_per_key(rows: DataFrame, keys: str | tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
-    """One row per key: the newest by ``order``."""
-    return latest_per_key(rows, keys, 1, order).drop("rank")
+    """One row per key: the newest by ``order``. Each input task passes on one row per key, so even
+    a key with a third of the rows reaches its last task as one row per input task."""
+    return latest_per_key(rows, keys, 1, order, slices=1).drop("rank")

@@ -387,3 +387,59 @@ BATCH_SQL = {
         """
     ),
 }
+
+STREAM_SQL = {
+    "stream_enrich": BATCH_SQL["enriched_events"],
+    "stream_rings": _over_sources(
+        """
+        SELECT 'content_id' AS ring, id, content_id, event_type, engagement_pct, CAST(by_content AS INT) AS rank
+        FROM ranked WHERE content_id IS NOT NULL AND by_content <= 100
+        UNION ALL
+        SELECT 'event_type', id, content_id, event_type, engagement_pct, CAST(by_type AS INT)
+        FROM ranked WHERE by_type <= 1000
+        """,
+        _ENRICHED, _RANKED.format(source="enriched"),
+    ),
+    "stream_totals": _over_sources(
+        """
+        SELECT count(*) AS total_events, max(id) AS latest_id,
+          count(CASE WHEN id >= lo + 3 * ((hi - lo) // 4 + 1) THEN 1 END) AS event_count
+        FROM engagement_events, (SELECT min(id) AS lo, max(id) AS hi FROM engagement_events)
+        """
+    ),
+    "stream_window_5m": _over_sources(
+        """
+        SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+          time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
+          event_type, count(*) AS n_events, CAST(sum(duration_ms) AS BIGINT) AS total_duration_ms
+        FROM engagement_events
+        WHERE time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE
+          <= (SELECT max(event_ts) FROM engagement_events) - INTERVAL 10 MINUTE
+        GROUP BY 1, 2, 3
+        """
+    ),
+    "stream_parse_envelope": _over_sources(
+        """
+        SELECT CAST(content_id AS VARCHAR) AS kafka_key, date_trunc('milliseconds', event_ts) AS event_ts,
+          event_ts AS kafka_timestamp, CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
+          id, content_id, user_id, event_type, duration_ms, device, raw_payload
+        FROM engagement_events WHERE event_type IS NOT NULL
+        """
+    ),
+    "stream_quarantine": _over_sources(
+        """
+        SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts AS kafka_timestamp,
+          CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
+          coalesce('error at ' || device, 'error') AS json_value
+        FROM engagement_events WHERE event_type IS NULL
+        """
+    ),
+    "poll_updated_at": BATCH_SQL["incremental_by_updated_at"],
+    "partitioned_export": _over_sources(
+        """
+        SELECT e.*, c.slug AS content_slug, c.title AS content_title, c.content_type,
+          CAST(strftime(e.event_ts, '%Y%m') AS INT) AS event_month
+        FROM engagement_events e LEFT JOIN content c ON e.content_id = c.id
+        """
+    ),
+}
