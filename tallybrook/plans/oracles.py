@@ -420,8 +420,7 @@ STREAM_SQL = {
     ),
     "stream_parse_envelope": _over_sources(
         """
-        SELECT CAST(content_id AS VARCHAR) AS kafka_key, date_trunc('milliseconds', event_ts) AS event_ts,
-          event_ts AS kafka_timestamp, CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
+        SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts, event_ts AS kafka_timestamp, CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
           id, content_id, user_id, event_type, duration_ms, device, raw_payload
         FROM engagement_events WHERE event_type IS NOT NULL
         """
@@ -430,7 +429,7 @@ STREAM_SQL = {
         """
         SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts AS kafka_timestamp,
           CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
-          coalesce('error at ' || device, 'error') AS json_value
+          'error at ' || coalesce(device, 'no device') AS json_value
         FROM engagement_events WHERE event_type IS NULL
         """
     ),

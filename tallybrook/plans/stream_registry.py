@@ -39,13 +39,14 @@ def in_slices(rows: DataFrame, by: str, path: str, slices: int = BATCHES) -> int
 
 
 def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    events = _events(spark, sf_dir)
-    per_step = in_slices(events, "id", f"{folder}/input")
-    return (
-        spark.readStream.schema(events.schema)
+    raw = testdata.raw_events(spark, sf_dir)
+    per_step = in_slices(raw, "event_id", f"{folder}/input")
+    files = (
+        spark.readStream.schema(raw.schema)
         .option("maxFilesPerTrigger", per_step)
         .parquet(f"{folder}/input")
     )
+    return testdata.as_instants(testdata.events_view(files))
 
 
 def _served(spark: SparkSession, sf_dir: str) -> str:
@@ -87,11 +88,8 @@ def stream_window_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events on a four-partition bus; those of an unknown kind carry a body that is not JSON."""
     events = _events(spark, sf_dir)
-    fields = ("id", "content_id", "user_id", "event_type", "event_ts", "duration_ms", "device", "raw_payload")
-    body = F.when(F.col("event_type").isNull(), F.concat(F.lit("error at "), "device")).otherwise(
-        F.to_json(F.struct(*fields))
-    )
-    body = F.coalesce(body, F.lit("error"))
+    unknown = F.concat(F.lit("error at "), F.coalesce("device", F.lit("no device")))
+    body = F.when(F.col("event_type").isNull(), unknown).otherwise(envelope.body_text(events))
     return envelope.to_envelope(events, F.col("id") % 4, F.expr("id div 4"), body)
 
 

@@ -6,52 +6,51 @@ users, devices and content on purpose.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Event kinds of the test data and what they stand for; any other kind has no type (fixed values).
-EVENT_KINDS = {"view": "play", "signup": "pause", "purchase": "finish", "click": "click"}
-DEVICE_BY_REMAINDER = ("ios", "android", "web-chrome", "web-safari", "web-edge")
+PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet")
+    return spark.read.schema(PART).parquet(f"{sf_dir}/part.parquet")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(on, cases: dict):
-    chosen = None
-    for value, result in cases.items():
-        chosen = (F if chosen is None else chosen).when(on == value, result)
-    return chosen
+def content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_view(raw_parts(spark, sf_dir))
 
 
-def content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    day = F.date_add(F.lit("2023-01-01").cast("date"), (key % 365).cast("int"))
-    return raw_parts(spark, sf_dir).select(
-        key.alias("id"),
-        F.concat(F.lit("part-"), key.cast("string")).alias("slug"),
-        F.col("p_name").alias("title"),
-        F.when(key % 3 == 0, "podcast").when(key % 3 == 1, "newsletter").otherwise("video")
-        .alias("content_type"),
-        F.when(key % 3 != 1, F.col("p_size") * 60).alias("length_seconds"),
-        day.cast("timestamp_ntz").alias("publish_ts"),
+def engagement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_view(raw_events(spark, sf_dir))
+
+
+def content_view(parts: DataFrame) -> DataFrame:
+    return parts.selectExpr(
+        "p_partkey AS id",
+        "concat('part-', cast(p_partkey AS string)) AS slug",
+        "p_name AS title",
+        "CASE p_partkey % 3 WHEN 0 THEN 'podcast' WHEN 1 THEN 'newsletter' ELSE 'video' END AS content_type",
+        "CASE WHEN p_partkey % 3 <> 1 THEN p_size * 60 END AS length_seconds",
+        "cast(date_add(DATE '2023-01-01', cast(p_partkey % 365 AS int)) AS timestamp_ntz) AS publish_ts",
     )
 
 
-def engagement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, kind = F.col("event_id"), F.col("event_type")
-    return raw_events(spark, sf_dir).select(
-        key.alias("id"),
-        F.when(key % 50 != 0, F.get_json_object("props", "$.k").cast("bigint")).alias("content_id"),
-        F.when(key % 20 != 0, F.col("user_id")).alias("user_id"),
-        _pick(kind, EVENT_KINDS).alias("event_type"),
-        F.col("ts").alias("event_ts"),
-        F.when(kind != "click", F.round(F.col("value") * 1000).cast("int")).alias("duration_ms"),
-        _pick(key % 6, dict(enumerate(DEVICE_BY_REMAINDER))).alias("device"),
-        F.col("props").alias("raw_payload"),
-        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (key % 7).cast("int"))).alias("updated_at"),
+def events_view(events: DataFrame) -> DataFrame:
+    """The same for a table and for a stream of raw events."""
+    return events.selectExpr(
+        "event_id AS id",
+        "CASE WHEN event_id % 50 <> 0 THEN cast(get_json_object(props, '$.k') AS bigint) END AS content_id",
+        "CASE WHEN event_id % 20 <> 0 THEN user_id END AS user_id",
+        """CASE event_type WHEN 'view' THEN 'play' WHEN 'signup' THEN 'pause'
+             WHEN 'purchase' THEN 'finish' WHEN 'click' THEN 'click' END AS event_type""",
+        "ts AS event_ts",
+        "CASE WHEN event_type = 'click' THEN NULL ELSE cast(round(value * 1000) AS int) END AS duration_ms",
+        """CASE event_id % 6 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' WHEN 2 THEN 'web-chrome'
+             WHEN 3 THEN 'web-safari' WHEN 4 THEN 'web-edge' END AS device""",
+        "props AS raw_payload",
+        "ts + make_dt_interval(0, 0, cast(event_id % 7 AS int)) AS updated_at",
     )
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
 
+from tallybrook.functions.text import iso_text
 from tallybrook.schemas import payload_schema
 from tallybrook.sinks.tables import write_batch
 from tallybrook.streaming.runner import Handler
@@ -38,10 +39,17 @@ def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events, malformed
 
 
+def body_text(events: DataFrame) -> Column:
+    """The JSON body of an event, its time to the microsecond."""
+    fields = [c for c in payload_schema().names if c in events.columns]
+    return F.to_json(
+        F.struct(*[iso_text(F.col(c)).alias(c) if c == "event_ts" else F.col(c) for c in fields])
+    )
+
+
 def to_envelope(events: DataFrame, partition: Column, offset: Column, body: Column | None = None) -> DataFrame:
     """Events as a message bus would carry them (for feeds and tests)."""
-    fields = [c for c in payload_schema().names if c in events.columns]
-    body = F.to_json(F.struct(*fields)) if body is None else body
+    body = body_text(events) if body is None else body
     return events.select(
         F.col("content_id").cast("string").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
