@@ -1,11 +1,13 @@
 """Jobs for spark-submit: ``spark-submit tallybrook/jobs.py <job> --content ... --events ... --out ...``.
 
-A source is a Parquet path, or ``jdbc:...`` with ``--table`` names given through the JDBC module by a
-wrapper of your own; results are written below ``--out``. Jobs do one run and end, except the
-streams, which run at their interval (or drain what is there when none is given).
+Sources are Parquet paths or, with ``--url``, tables of a database; the analysis and export tables go
+below ``--out`` or, with ``--into-database``, back to it. A job does one run and ends, except the
+streams, which run at their interval (or drain what is there when none is given). The database
+password is taken from the environment variable that ``--password-env`` names.
 """
 
 import argparse
+import os
 import sys
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
@@ -20,19 +22,41 @@ from tallybrook.operators.enrich import export_rows
 from tallybrook.plans import analysis, reports, serving
 from tallybrook.schemas import envelope_schema, event_schema
 from tallybrook.session import build_session
-from tallybrook.sinks.tables import overwrite_table, partitioned_export
-from tallybrook.sources import kafka, tables
+from tallybrook.sinks.tables import into_folder, overwrite_table, partitioned_export
+from tallybrook.sources import jdbc, kafka, tables
 from tallybrook.streaming import envelope, polling, serve, windows
 from tallybrook.streaming.runner import run_until_stopped, start
 
 
+def _database(args) -> jdbc.Database:
+    return jdbc.Database(args.url, args.user, os.environ.get(args.password_env), args.driver)
+
+
+def _content(spark: SparkSession, args):
+    if args.url and args.hash:
+        return jdbc.read_hashed(spark, _database(args), args.content, args.hash, args.slices)
+    if args.url:
+        return jdbc.read_query(spark, _database(args), f"SELECT * FROM {args.content}")
+    return tables.read_table(spark, args.content)
+
+
+def _events(spark: SparkSession, args):
+    if args.url:
+        return jdbc.read_sliced(spark, _database(args), args.events, "id", args.slices)
+    return tables.read_table(spark, args.events)
+
+
+def _save(args):
+    return jdbc.into_database(_database(args)) if args.into_database else into_folder(args.out)
+
+
 def analyze(spark: SparkSession, args) -> None:
-    analysis.run_analysis(tables.read_table(spark, args.content), tables.read_table(spark, args.events), args.out)
+    analysis.run_analysis(_content(spark, args), _events(spark, args), _save(args))
 
 
 def export(spark: SparkSession, args) -> None:
-    content, events = tables.read_table(spark, args.content), tables.read_table(spark, args.events)
-    analysis.run_export(content, events, args.out)
+    content, events = _content(spark, args), _events(spark, args)
+    analysis.run_export(content, events, _save(args))
     partitioned_export(export_rows(events, content), f"{args.out}/engagement_events_stream")
 
 
@@ -40,8 +64,8 @@ def cache(spark: SparkSession, args) -> None:
     """The cache cycle: reads the written analysis tables, so run ``analyze`` to ``--tables`` first."""
     results = {name: tables.read_table(spark, f"{args.tables}/{name}") for name in analysis.ANALYSIS_TABLES}
     view = serving.cache_view(
-        tables.read_table(spark, args.content),
-        tables.read_table(spark, args.events),
+        _content(spark, args),
+        _events(spark, args),
         reports.analysis_table_counts(results),
         analysis.metrics_summary(results["content_engagement_metrics"]),
         F.current_timestamp(),
@@ -50,7 +74,7 @@ def cache(spark: SparkSession, args) -> None:
 
 
 def check(spark: SparkSession, args) -> None:
-    content, events = tables.read_table(spark, args.content), tables.read_table(spark, args.events)
+    content, events = _content(spark, args), _events(spark, args)
     found = {
         "domain": quality.domain_violations(content, "content").unionByName(
             quality.domain_violations(events, "engagement_events")
@@ -69,22 +93,33 @@ def check(spark: SparkSession, args) -> None:
 
 def poll(spark: SparkSession, args) -> None:
     now = datetime.now(timezone.utc) - timedelta(seconds=args.lag)
+
+    def deliver(rows, number: int) -> None:
+        jdbc.append(rows, _database(args), "engagement_events_stream")
+
     polling.poll_changes(
         spark,
-        lambda low, high: tables.changed_between(tables.read_table(spark, args.events), low, high),
-        lambda: tables.read_table(spark, args.content),
+        lambda low, high: tables.changed_between(_events(spark, args), low, high),
+        lambda: _content(spark, args),
         args.out,
         now,
         first_low=tables.look_back(now),
+        deliver=deliver if args.into_database else None,
     )
 
 
+def poll_ids(spark: SparkSession, args) -> None:
+    """Serve what is new by id, a thousand events at a time."""
+    while polling.poll_ids(_events(spark, args), lambda: _content(spark, args), args.out, args.limit):
+        pass
+
+
 def _event_files(spark: SparkSession, args):
     return spark.readStream.schema(event_schema()).option("maxFilesPerTrigger", args.files).parquet(args.events)
 
 
 def stream_serve(spark: SparkSession, args) -> None:
-    handler = serve.serve_events(lambda: tables.read_table(spark, args.content), args.out)
+    handler = serve.serve_events(lambda: _content(spark, args), args.out)
     run_until_stopped(start(_event_files(spark, args), handler, f"{args.out}/_checkpoint", args.interval))
 
 
@@ -99,7 +134,10 @@ def stream_messages(spark: SparkSession, args) -> None:
         messages = kafka.kafka_stream(spark, args.servers, args.topic)
     else:
         messages = spark.readStream.schema(envelope_schema()).option("maxFilesPerTrigger", args.files).parquet(args.events)
-    handler = envelope.store_events(args.out)
+    if args.into_database:
+        handler = envelope.append_events(_database(args), "engagement_events_stream", args.out)
+    else:
+        handler = envelope.store_events(args.out)
     parsed = envelope.parse_envelope(messages)
     run_until_stopped(start(parsed, handler, f"{args.out}/_checkpoint", args.interval))
 
@@ -110,6 +148,7 @@ JOBS = {
     "cache": cache,
     "check": check,
     "poll": poll,
+    "poll-ids": poll_ids,
     "stream-serve": stream_serve,
     "stream-windows": stream_windows,
     "stream-messages": stream_messages,
@@ -128,6 +167,14 @@ def parse_arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--lag", type=int, default=0, help="seconds the poll stays behind the clock")
     parser.add_argument("--servers", help="message bus servers")
     parser.add_argument("--topic", default="engagement_events")
+    parser.add_argument("--limit", type=int, default=1000, help="events per poll (poll-ids)")
+    parser.add_argument("--url", help="JDBC address; --content and --events are then table names")
+    parser.add_argument("--user")
+    parser.add_argument("--password-env", default="DB_PASSWORD")
+    parser.add_argument("--driver")
+    parser.add_argument("--slices", type=int, default=64, help="parallel ranges of a database scan")
+    parser.add_argument("--hash", help="the database's integer hash of content.id, to slice its scan by")
+    parser.add_argument("--into-database", action="store_true")
     parser.add_argument("--master", help="for local runs")
     return parser.parse_args(argv)
 

@@ -50,14 +50,18 @@ def keyed_join(
     spread: str = "id",
     broadcast_limit: int | None = None,
     salts: int = SALTS,
+    skewed: bool = True,
 ) -> DataFrame:
     """``facts`` joined to ``table`` on ``key``, which must be unique in ``table``.
 
     ``how`` is any join that keeps the facts' side: left, inner, left_semi or left_anti. ``spread``
-    is a column of the facts with many values, used to choose a row's salt.
+    is a column of the facts with many values, used to choose a row's salt. Facts that hold a
+    bounded number of rows per key by construction need no salts (``skewed=False``).
     """
     if fits_broadcast(table, broadcast_limit):
         return facts.join(F.broadcast(table), key, how)
+    if not skewed:
+        return facts.join(table, key, how)
     return salted_join(facts, table, key, how, spread, salts)
 
 

@@ -5,13 +5,14 @@ them from one daily rollup, so that the events are read once for the content tab
 columns wider, for the device table.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybrook.functions.measures import completion_rate, engagement_score
 from tallybrook.operators import rollup as r
 from tallybrook.schemas import conform, result_schema
 from tallybrook.session import scratch
-from tallybrook.sinks.tables import overwrite_table
 
 ANALYSIS_TABLES = (
     "content_engagement_metrics",
@@ -169,46 +170,43 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def run_analysis(content: DataFrame, events: DataFrame, out: str, rollup_path: str | None = None) -> dict[str, str]:
-    """Write the four tables below ``out`` and return their paths.
+Save = Callable[[DataFrame, str], None]
 
-    The rollup is written first and read back, so losing an executor later costs a re-read of the
-    rollup and never of the events.
-    """
-    spark = events.sparkSession
-    rollup_path = rollup_path or scratch(spark, "daily-rollup")
-    r.daily_rollup(events, content).write.mode("overwrite").parquet(rollup_path)
-    rollup = spark.read.parquet(rollup_path)
-    per_content = r.resummarise(r.spread_types(rollup), "content_id")
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A step that several tables start from, written to the shared folder and read back: losing
+    an executor later costs a re-read of this table, and never of the events."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def run_analysis(content: DataFrame, events: DataFrame, save: Save) -> None:
+    """Make the four tables and hand each, typed, to ``save(table, name)``."""
+    rollup = _stored(r.daily_rollup(events, content), "daily-rollup")
+    per_content = _stored(r.resummarise(r.spread_types(rollup), "content_id"), "content-summary")
     tables = {
         "content_engagement_metrics": content_engagement_metrics(content, per_content),
         "content_engagement_daily": content_engagement_daily(content, rollup),
         "content_type_analysis": content_type_analysis(content, per_content),
         "device_analysis": device_analysis(events),
     }
-    return _write(tables, content, out)
+    _save_all(tables, content, save)
 
 
-def run_export(content: DataFrame, events: DataFrame, out: str) -> dict[str, str]:
-    """Write the two export tables below ``out``, both from one summary per content and day."""
-    spark = events.sparkSession
-    daily_path = scratch(spark, "daily-summary")
-    named = r.events_with_content(events)
-    r.summarise(named, "content_id", F.to_date("event_ts").alias("event_date")).write.mode(
-        "overwrite"
-    ).parquet(daily_path)
-    daily = spark.read.parquet(daily_path)
+def run_export(content: DataFrame, events: DataFrame, save: Save) -> None:
+    """Make the two export tables, both from one summary per content and day."""
+    day = F.to_date("event_ts").alias("event_date")
+    daily = _stored(r.summarise(r.events_with_content(events), "content_id", day), "daily-summary")
     tables = {
         "content_metrics_export": content_metrics_export(content, r.resummarise(daily, "content_id")),
         "content_engagement_daily_export": content_engagement_daily_export(content, daily),
     }
-    return _write(tables, content, out)
+    _save_all(tables, content, save)
 
 
-def _write(tables: dict[str, DataFrame], content: DataFrame, out: str) -> dict[str, str]:
+def _save_all(tables: dict[str, DataFrame], content: DataFrame, save: Save) -> None:
     id_type = content.schema["id"].dataType
-    paths = {}
     for name, table in tables.items():
-        paths[name] = f"{out}/{name}"
-        overwrite_table(conform(table, result_schema(name, id_type)), paths[name])
-    return paths
+        save(conform(table, result_schema(name, id_type)), name)

@@ -238,8 +238,7 @@ BATCH_SQL = {
         " FROM engagement_events ORDER BY event_ts DESC, id LIMIT 20"
     ),
     "latest_ten_events": _over_sources(
-        "SELECT id, content_id, event_type, event_ts, duration_ms, device"
-        " FROM engagement_events ORDER BY event_ts DESC, id LIMIT 10"
+        "SELECT * FROM engagement_events ORDER BY event_ts DESC, id LIMIT 10"
     ),
     "latest_events_per_content": _over_sources(
         f"SELECT {_RING_COLUMNS}, CAST(by_content AS INT) AS rank FROM ranked"
@@ -285,7 +284,8 @@ BATCH_SQL = {
     "incremental_by_id": _over_sources("SELECT * FROM enriched WHERE id > 0 ORDER BY id LIMIT 1000", _ENRICHED),
     "incremental_by_updated_at": _over_sources(
         """
-        SELECT e.*, c.slug AS content_slug, c.title AS content_title, c.content_type
+        SELECT e.id, CAST(e.content_id AS VARCHAR) AS content_id, CAST(e.user_id AS VARCHAR) AS user_id,
+          e.event_type, e.event_ts, e.duration_ms, e.device, e.raw_payload, e.updated_at, c.slug AS content_slug, c.title AS content_title, c.content_type
         FROM engagement_events e LEFT JOIN content c ON e.content_id = c.id
         """
     ),
@@ -433,7 +433,12 @@ STREAM_SQL = {
         FROM engagement_events WHERE event_type IS NULL
         """
     ),
-    "poll_updated_at": BATCH_SQL["incremental_by_updated_at"],
+    "poll_updated_at": _over_sources(
+        """
+        SELECT e.*, c.slug AS content_slug, c.title AS content_title, c.content_type
+        FROM engagement_events e LEFT JOIN content c ON e.content_id = c.id
+        """
+    ),
     "partitioned_export": _over_sources(
         """
         SELECT e.*, c.slug AS content_slug, c.title AS content_title, c.content_type,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybrook.operators import maintain, quality
 from tallybrook.operators import rollup as r
-from tallybrook.operators.enrich import enrich_events, export_rows
+from tallybrook.operators.enrich import enrich_events, export_rows, next_events, with_measures
 from tallybrook.plans import analysis, reports, serving
 from tallybrook.session import use_utc
 from tallybrook.sources import tables, testdata
@@ -243,7 +243,8 @@ def payload_by_slug(content: DataFrame, events: DataFrame) -> DataFrame:
 
 def incremental_by_updated_at(content: DataFrame, events: DataFrame) -> DataFrame:
     """The export of all events in three increments that overlap by ten minutes, as a poller with
-    late commits reads them; a change that two increments see is exported once."""
+    late commits reads them; a change that two increments see is exported once. Identifiers
+    and payload leave as text."""
     cuts = [None, datetime(2024, 1, 10), datetime(2024, 1, 20), None]
     overlap = F.expr("INTERVAL 10 MINUTES")
     parts = None
@@ -252,7 +253,9 @@ def incremental_by_updated_at(content: DataFrame, events: DataFrame) -> DataFram
         high = None if high is None else F.lit(high).cast("timestamp_ntz")
         part = tables.changed_between(events, low, high)
         parts = part if parts is None else parts.unionByName(part)
-    return export_rows(maintain.newest_per_key(parts, ("id", "updated_at"), ("updated_at",)), content)
+    once = maintain.newest_per_key(parts, ("id", "updated_at"), ("updated_at",))
+    named = content.withColumn("id", F.col("id").cast("string"))
+    return export_rows(tables.with_text_ids(once), named)
 
 
 def point_lookup(content: DataFrame, events: DataFrame) -> DataFrame:
@@ -289,7 +292,7 @@ BATCH_QUERIES = {
     "first_content": over_sources(lambda c, e: reports.first_content(c)),
     "recent_content": over_sources(lambda c, e: reports.recent_content(c)),
     "recent_events": over_sources(lambda c, e: reports.recent_events(e)),
-    "latest_ten_events": over_sources(lambda c, e: reports.recent_events(e, 10)),
+    "latest_ten_events": over_sources(lambda c, e: tables.newest(e, "event_ts", 10)),
     "latest_events_per_content": over_sources(
         lambda c, e: reports.latest_events_per_content(e).select(*_ring)
     ),
@@ -305,7 +308,7 @@ BATCH_QUERIES = {
     "serving_view": over_sources(serving_view),
     "serving_keys": over_sources(key_families),
     "serving_lookup": over_sources(point_lookup),
-    "incremental_by_id": over_sources(lambda c, e: enrich_events(tables.after_id(e, 0), c)),
+    "incremental_by_id": over_sources(lambda c, e: with_measures(next_events(e, c, cursor=0))),
     "incremental_by_updated_at": over_sources(incremental_by_updated_at),
     "content_insert_if_absent": over_folder(content_insert_if_absent),
     "events_insert_serial": over_folder(events_insert_serial),

@@ -146,13 +146,14 @@ def key_count(view: DataFrame) -> DataFrame:
 
 
 def rings(events: DataFrame, content: DataFrame, by: str, n: int, **join) -> DataFrame:
-    """Enriched ring members. Ranking comes first, so only members are joined to their content."""
+    """Enriched ring members. Ranking comes first, so only members are joined to their content,
+    and no content has more than ``n`` of them per ring."""
     ranked = (
         reports.latest_events_per_content(events, n)
         if by == "content_id"
         else reports.latest_events_per_type(events, n)
     )
-    return enrich_events(ranked, content, keep=("rank",), **join)
+    return enrich_events(ranked, content, keep=("rank",), skewed=False, **join)
 
 
 def cache_view(

@@ -10,6 +10,11 @@ def overwrite_table(df: DataFrame, path: str, schema: StructType | None = None)
     (df if schema is None else conform(df, schema)).write.mode("overwrite").parquet(path)
 
 
+def into_folder(root: str):
+    """A ``save(table, name)`` that overwrites one Parquet table per name below ``root``."""
+    return lambda df, name: overwrite_table(df, f"{root}/{name}")
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     """Write one batch into its own partition. Replaying the batch replaces what it wrote."""
     target = f"{path}/batch_id={batch_id}"

@@ -109,3 +109,8 @@ def append(df: DataFrame, db: Database, table: str) -> None:
     """Append. A retried task may insert rows twice: give the target a unique key, or let its
     reader keep one row per key and change time."""
     df.write.format("jdbc").options(**write_options(db, table, df.schema)).mode("append").save()
+
+
+def into_database(db: Database):
+    """A ``save(table, name)`` that overwrites one database table per name."""
+    return lambda df, name: overwrite(df, db, name)

@@ -6,6 +6,8 @@ from pyspark.sql.types import DataType, StringType
 from tallybrook.functions.text import iso_text
 from tallybrook.schemas import payload_schema
 from tallybrook.sinks.tables import write_batch
+from tallybrook.sources import jdbc
+from tallybrook.sources.jdbc import Database
 from tallybrook.streaming.runner import Handler
 
 ENVELOPE = ("kafka_key", "kafka_timestamp", "partition", "offset")
@@ -68,3 +70,18 @@ def store_events(root: str) -> Handler:
         write_batch(malformed, f"{root}/quarantine", batch_id)
 
     return handler
+
+
+def append_events(db: Database, table: str, root: str) -> Handler:
+    """Append a batch's events to a database table; what holds no event goes to ``root/quarantine``.
+
+    An append is not undone when a batch is replayed, so ``(partition, offset)`` identifies the
+    repeats.
+    """
+
+    def handler(parsed: DataFrame, batch_id: int) -> None:
+        events, malformed = split_malformed(parsed)
+        write_batch(malformed, f"{root}/quarantine", batch_id)
+        jdbc.append(events, db, table)
+
+    return handler

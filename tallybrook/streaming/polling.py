@@ -27,11 +27,13 @@ def poll_changes(
     high: datetime,
     first_low: datetime | None = None,
     overlap: timedelta = timedelta(minutes=10),
+    deliver: Callable[[DataFrame, int], None] | None = None,
 ) -> int:
     """Export the rows changed since the last call, up to ``high``; return the increment's number.
 
     ``changed(low, high)`` reads the rows changed in (low, high]. Each increment looks back by
     ``overlap`` for rows that were committed late, and leaves out what earlier ones exported.
+    ``deliver(rows, number)`` passes the increment on, e.g. to a database, before the cursor moves.
     """
     cursor = read_or_empty(spark, f"{root}/cursor", CURSOR)
     last = cursor.agg(F.max("batch_id").alias("n"), F.max_by("high", "batch_id").alias("high")).first()
@@ -42,7 +44,9 @@ def poll_changes(
         done = spark.read.parquet(f"{root}/changes").where(F.col("batch_id") < number)
         recent = done.where(F.col("updated_at") > F.lit(low)).select("id", "updated_at")
         rows = rows.join(recent, ["id", "updated_at"], "left_anti")
-    write_batch(export_rows(rows, content()), f"{root}/changes", number)
+    written = write_batch(export_rows(rows, content()), f"{root}/changes", number)
+    if deliver is not None:
+        deliver(spark.read.parquet(written), number)
     stamp = spark.range(1).select(F.lit(high).cast("timestamp").alias("high"))
     write_batch(stamp, f"{root}/cursor", number)
     return number

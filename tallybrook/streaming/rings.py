@@ -23,7 +23,11 @@ def push(events: DataFrame, path: str, key: str, n: int, batch_id: int, written_
 
 def fold(spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int, through: int) -> None:
     """Merge everything up to batch ``through`` into a new base. The base counts from the moment
-    its row in ``folded`` is there; until then readers use the previous one."""
+    its row in ``folded`` is there; until then readers use the previous one. A replay of a batch
+    that was folded already leaves the base as it is. What a base has replaced may be deleted."""
+    last = _last_fold(spark, path)
+    if last is not None and last >= through:
+        return
     rows = _rows(spark, path).where(F.col("batch_id") <= through)
     kept = latest_per_key(_unlapsed(rows, key, ttl_seconds), key, n).drop("rank")
     kept.write.mode("overwrite").parquet(f"{path}/bases/{through}")
@@ -43,14 +47,18 @@ def read(
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
     segments = spark.read.parquet(f"{path}/segments")
-    # One row per fold: the highest says which base holds and which segments came after it.
-    last = read_or_empty(spark, f"{path}/folded", "through bigint").agg(F.max("through")).first()[0]
+    last = _last_fold(spark, path)
     if last is None:
         return segments
     base = spark.read.parquet(f"{path}/bases/{last}")
     return base.unionByName(segments.where(F.col("batch_id") > last))
 
 
+def _last_fold(spark: SparkSession, path: str) -> int | None:
+    """The batch up to which the current base goes (the table has one row per fold)."""
+    return read_or_empty(spark, f"{path}/folded", "through bigint").agg(F.max("through")).first()[0]
+
+
 def _unlapsed(rows: DataFrame, key: str, ttl_seconds: int, now: Column | None = None) -> DataFrame:
     """Drop what was pushed before a list last expired, and lists that have expired by ``now``.
 

@@ -1,8 +1,10 @@
 """Starting, draining and stopping queries."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 Handler = Callable[[DataFrame, int], None]
@@ -41,3 +43,12 @@ def run_until_stopped(query: StreamingQuery) -> None:
         query.awaitTermination()
     except KeyboardInterrupt:
         query.stop()
+
+
+def together(spark: SparkSession, tasks: list[Callable[[], None]]) -> None:
+    """Submit independent writes of one batch at the same time, so that small jobs share the
+    cluster; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+    for task in running:
+        task.result()

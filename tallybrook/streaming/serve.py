@@ -5,16 +5,18 @@ table per key. Totals, cursors and heartbeats are read from ``progress``, never
 """
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybrook.operators.enrich import enrich_events
-from tallybrook.plans.serving import CONTENT_RING, TYPE_RING
+from tallybrook.plans.serving import CONTENT_RING, HOUR, TYPE_RING
 from tallybrook.sinks.tables import write_batch
 from tallybrook.streaming import rings
-from tallybrook.streaming.runner import Handler
+from tallybrook.streaming.runner import Handler, together
 
 RINGS = {"content_id": CONTENT_RING, "event_type": TYPE_RING}
+FOLD_EVERY = 100
 PROGRESS = "event_count bigint, latest_id bigint, updated_at timestamp, batch_id bigint"
 
 
@@ -26,7 +28,12 @@ def ring_path(root: str, key: str) -> str:
     return f"{root}/ring_{key}"
 
 
-def serve_events(content: Callable[[], DataFrame], root: str, ring_sizes: dict[str, int] = RINGS) -> Handler:
+def serve_events(
+    content: Callable[[], DataFrame],
+    root: str,
+    ring_sizes: dict[str, int] = RINGS,
+    fold_every: int = FOLD_EVERY,
+) -> Handler:
     """Enrich each batch and write its events, progress and ring entries.
 
     ``content`` is called per batch, so items published meanwhile are seen. The batch itself is
@@ -39,9 +46,15 @@ def serve_events(content: Callable[[], DataFrame], root: str, ring_sizes: dict[s
         spark = batch.sparkSession
         target = write_batch(enrich_events(batch, content()), enriched_path(root), batch_id)
         saved = spark.read.parquet(target)
-        write_batch(batch_progress(saved), f"{root}/progress", batch_id)
-        for key, n in ring_sizes.items():
-            rings.push(saved, ring_path(root, key), key, n, batch_id)
+
+        def push(key: str, n: int) -> None:
+            path = ring_path(root, key)
+            rings.push(saved, path, key, n, batch_id)
+            if batch_id % fold_every == fold_every - 1:
+                rings.fold(spark, path, key, n, HOUR, batch_id)
+
+        writes = [partial(write_batch, batch_progress(saved), f"{root}/progress", batch_id)]
+        together(spark, writes + [partial(push, key, n) for key, n in ring_sizes.items()])
 
     return handler
 
