@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from tallybrook.functions.text import key_of
-from tallybrook.operators.latest import latest_per_key
+from tallybrook.operators.latest import latest_per_key, latest_per_many_keys
 from tallybrook.sources.tables import matching_tables, newest
 
 
@@ -27,7 +27,7 @@ def recent_events(events: DataFrame, n: int = 20) -> DataFrame:
 
 def latest_events_per_content(events: DataFrame, n: int = 100) -> DataFrame:
     """The ring of each content: its newest events by id, rank 1 the newest."""
-    return latest_per_key(events.where(F.col("content_id").isNotNull()), "content_id", n)
+    return latest_per_many_keys(events.where(F.col("content_id").isNotNull()), "content_id", n)
 
 
 def latest_events_per_type(events: DataFrame, n: int = 1000) -> DataFrame:

@@ -29,7 +29,7 @@ def fold(spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int, thr
     if last is not None and last >= through:
         return
     rows = _rows(spark, path).where(F.col("batch_id") <= through)
-    kept = latest_per_key(_unlapsed(rows, key, ttl_seconds), key, n).drop("rank")
+    kept = latest_per_key(_unlapsed(rows, key, ttl_seconds), key, n, slices=1).drop("rank")
     kept.write.mode("overwrite").parquet(f"{path}/bases/{through}")
     write_batch(spark.range(1).select(F.lit(through).cast("bigint").alias("through")), f"{path}/folded", through)
 
@@ -42,7 +42,8 @@ def read(
     rows = _rows(spark, path)
     if ttl_seconds is not None:
         rows = _unlapsed(rows, key, ttl_seconds, F.current_timestamp() if now is None else now)
-    return latest_per_key(rows.drop("batch_id", "written_at"), key, n)
+    # A key has at most n rows per segment, so ranking it at once is safe.
+    return latest_per_key(rows.drop("batch_id", "written_at"), key, n, slices=1)
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
