@@ -407,6 +407,20 @@ STREAM_SQL = {
         FROM engagement_events, (SELECT min(id) AS lo, max(id) AS hi FROM engagement_events)
         """
     ),
+    "stream_serving_view": _over_sources(
+        """
+        SELECT family, key, value, 3600 AS ttl_seconds FROM keyed
+        WHERE family IN ('event', 'content_events', 'type_events')
+        UNION ALL
+        SELECT 'streaming', 'streaming:latest_event_id', CAST(max(id) AS VARCHAR), CAST(NULL AS INT)
+        FROM engagement_events
+        UNION ALL
+        SELECT 'streaming', 'streaming:total_events', CAST(count(*) AS VARCHAR), CAST(NULL AS INT)
+        FROM engagement_events
+        """,
+        _ENRICHED, _USERS, _ALL_TYPES, _DEVICES, _SUMMARY, _COUNTS, _STATS,
+        _RANKED.format(source="enriched"), _RECORDS, _VIEW,
+    ),
     "stream_window_5m": _over_sources(
         """
         SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,

@@ -38,13 +38,19 @@ def recent_record() -> Column:
     return F.struct(*[shaped.get(c, F.col(c)).alias(c) for c in columns])
 
 
-def entries(rows: DataFrame, family: str, key: Column, value: Column, ttl: int | None) -> DataFrame:
-    return rows.select(
+def entries(
+    rows: DataFrame, family: str, key: Column, value: Column, ttl: int | None, written_at: Column | None = None
+) -> DataFrame:
+    """Rows of the view; ``written_at`` where rows were written at times of their own."""
+    columns = [
         F.lit(family).alias("family"),
         key.alias("key"),
         value.cast("string").alias("value"),
         F.lit(ttl).cast("int").alias("ttl_seconds"),
-    )
+    ]
+    if written_at is not None:
+        columns.append(written_at.alias("written_at"))
+    return rows.select(*columns)
 
 
 def _ordered_list(order: Column, record: Column) -> Column:
@@ -53,23 +59,29 @@ def _ordered_list(order: Column, record: Column) -> Column:
     return record_json(F.transform(pairs, lambda p: p["_record"]))
 
 
-def event_entries(enriched: DataFrame) -> DataFrame:
+def event_entries(enriched: DataFrame, written_at: Column | None = None) -> DataFrame:
     """``event:{id}``: a projection, without a shuffle."""
-    return entries(enriched, "event", key_of("event", F.col("id")), record_json(event_record()), HOUR)
+    key = key_of("event", F.col("id"))
+    return entries(enriched, "event", key, record_json(event_record()), HOUR, written_at)
 
 
-def ring_entries(ring: DataFrame, family: str, key: Column, by: str) -> DataFrame:
+def ring_entries(ring: DataFrame, family: str, key: Column, by: str, written_at: Column | None) -> DataFrame:
     """Ring lists, newest first. ``ring`` holds enriched events with their ``rank``."""
-    lists = ring.groupBy(by).agg(_ordered_list(F.col("rank"), event_record()).alias("_list"))
-    return entries(lists, family, key, F.col("_list"), HOUR)
+    lists = ring.groupBy(by).agg(
+        _ordered_list(F.col("rank"), event_record()).alias("_list"),
+        *([] if written_at is None else [F.max(written_at).alias("_at")]),
+    )
+    return entries(lists, family, key, F.col("_list"), HOUR, None if written_at is None else F.col("_at"))
 
 
-def content_ring_entries(ring: DataFrame) -> DataFrame:
-    return ring_entries(ring, "content_events", key_of("content", F.col("content_id"), "events"), "content_id")
+def content_ring_entries(ring: DataFrame, written_at: Column | None = None) -> DataFrame:
+    key = key_of("content", F.col("content_id"), "events")
+    return ring_entries(ring, "content_events", key, "content_id", written_at)
 
 
-def type_ring_entries(ring: DataFrame) -> DataFrame:
-    return ring_entries(ring, "type_events", key_of("events", F.col("event_type")), "event_type")
+def type_ring_entries(ring: DataFrame, written_at: Column | None = None) -> DataFrame:
+    key = key_of("events", F.col("event_type"))
+    return ring_entries(ring, "type_events", key, "event_type", written_at)
 
 
 def content_entries(content: DataFrame, n: int = CONTENT_LIST) -> DataFrame:
@@ -110,17 +122,26 @@ def analysis_entries(table_counts: DataFrame, summary: DataFrame) -> DataFrame:
 
 def progress_entries(progress: DataFrame) -> DataFrame:
     """``streaming:*`` keys from one row (event_count, latest_id, total_events, updated_at)."""
-    beat = F.struct(iso_text(F.col("updated_at")).alias("timestamp"), "event_count", "latest_id")
-    return (
-        entries(progress, "streaming", F.lit("streaming:latest_event_id"), F.col("latest_id"), None)
-        .unionByName(entries(progress, "streaming", F.lit("streaming:total_events"), F.col("total_events"), None))
-        .unionByName(entries(progress, "streaming", F.lit("streaming:last_update"), record_json(beat), MINUTE))
-    )
-
-
-def with_expiry(view: DataFrame, written_at: Column) -> DataFrame:
+    at = F.col("updated_at")
+    beat = F.struct(iso_text(at).alias("timestamp"), "event_count", "latest_id")
+    values = {
+        "latest_event_id": (F.col("latest_id"), None),
+        "total_events": (F.col("total_events"), None),
+        "last_update": (record_json(beat), MINUTE),
+    }
+    parts = [
+        entries(progress, "streaming", F.lit(f"streaming:{name}"), value, ttl, at)
+        for name, (value, ttl) in values.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def with_expiry(view: DataFrame, written_at: Column | None = None) -> DataFrame:
+    """Add when each row expires. Without ``written_at`` the rows bring their own."""
     lifetime = F.make_dt_interval(secs=F.col("ttl_seconds"))
-    return view.withColumn("written_at", written_at).withColumn(
+    if written_at is not None:
+        view = view.withColumn("written_at", written_at)
+    return view.withColumn(
         "expires_at", F.when(F.col("ttl_seconds").isNotNull(), F.col("written_at") + lifetime)
     )
 

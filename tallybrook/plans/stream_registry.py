@@ -78,6 +78,12 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.progress(spark, _served(spark, sf_dir)).drop("updated_at")
 
 
+def stream_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key but the heartbeat, whose value is the time of the run."""
+    shown = serve.view(spark, _served(spark, sf_dir)).drop("written_at", "expires_at")
+    return shown.where(F.col("key") != "streaming:last_update")
+
+
 def stream_window_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "windows")
     counts = windows.window_counts(event_stream(spark, sf_dir, folder))
@@ -136,6 +142,7 @@ STREAM_QUERIES = {
     "stream_enrich": over_folder(stream_enrich),
     "stream_rings": over_folder(stream_rings),
     "stream_totals": over_folder(stream_totals),
+    "stream_serving_view": over_folder(stream_serving_view),
     "stream_window_5m": over_folder(stream_window_5m),
     "stream_parse_envelope": over_folder(stream_parse_envelope),
     "stream_quarantine": over_folder(stream_quarantine),

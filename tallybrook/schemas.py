@@ -14,7 +14,6 @@ from pyspark.sql.types import (
     StringType,
     StructType,
     TimestampType,
-    _parse_datatype_string,
 )
 
 CONTENT_TYPES = ("podcast", "newsletter", "video")
@@ -120,7 +119,7 @@ RESULT_TABLES = {
 
 
 def result_schema(table: str, id_type: DataType = StringType()) -> StructType:
-    return _parse_datatype_string(RESULT_TABLES[table].format(id=id_type.simpleString()))
+    return StructType.fromDDL(RESULT_TABLES[table].format(id=id_type.simpleString()))
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

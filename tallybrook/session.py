@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -38,13 +39,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallybrook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallybrook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

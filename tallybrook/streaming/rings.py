@@ -29,7 +29,8 @@ def fold(spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int, thr
     if last is not None and last >= through:
         return
     rows = _rows(spark, path).where(F.col("batch_id") <= through)
-    kept = latest_per_key(_unlapsed(rows, key, ttl_seconds), key, n, slices=1).drop("rank")
+    alive = _unlapsed(rows, key, ttl_seconds).drop("pushed_at")
+    kept = latest_per_key(alive, key, n, slices=1).drop("rank")
     kept.write.mode("overwrite").parquet(f"{path}/bases/{through}")
     write_batch(spark.range(1).select(F.lit(through).cast("bigint").alias("through")), f"{path}/folded", through)
 
@@ -38,7 +39,8 @@ def read(
     spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int | None = None, now: Column | None = None
 ) -> DataFrame:
     """The rings, newest first by ``rank``. With a lifetime, as a store would show them at ``now``:
-    each push renews a list, and one that was not renewed in time is gone."""
+    each push renews a list, and one that was not renewed in time is gone; ``pushed_at`` is the
+    time of the list's last push."""
     rows = _rows(spark, path)
     if ttl_seconds is not None:
         rows = _unlapsed(rows, key, ttl_seconds, F.current_timestamp() if now is None else now)
@@ -73,10 +75,10 @@ def _unlapsed(rows: DataFrame, key: str, ttl_seconds: int, now: Column | None =
     lists = (
         pushes.withColumn("_starts", F.when(starts, F.col("written_at")))
         .groupBy(key)
-        .agg(F.max("_starts").alias("_since"), F.max("written_at").alias("_last"))
+        .agg(F.max("_starts").alias("_since"), F.max("written_at").alias("pushed_at"))
         .withColumnRenamed(key, "_key")
     )
     if now is not None:
-        lists = lists.where(F.col("_last") + lifetime > now)
+        lists = lists.where(F.col("pushed_at") + lifetime > now)
     same = rows[key].eqNullSafe(lists["_key"]) & (rows["written_at"] >= lists["_since"])
-    return rows.join(lists, same, "left_semi")
+    return rows.join(lists, same, "inner").drop("_key", "_since")

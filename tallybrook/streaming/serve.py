@@ -7,9 +7,10 @@ table per key. Totals, cursors and heartbeats are read from ``progress``, never
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallybrook.operators.enrich import enrich_events
+from tallybrook.plans import serving
 from tallybrook.plans.serving import CONTENT_RING, HOUR, TYPE_RING
 from tallybrook.sinks.tables import write_batch
 from tallybrook.streaming import rings
@@ -80,3 +81,22 @@ def progress(spark: SparkSession, root: str) -> DataFrame:
         F.max_by("event_count", "batch_id").alias("event_count"),
         F.max("updated_at").alias("updated_at"),
     )
+
+
+def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame:
+    """The stream's serving keys as a reader sees them at ``now``: events of the last hour, the
+    rings that were renewed in time, and the progress keys.
+
+    Batches that have expired are pruned as partitions before their events are read.
+    """
+    now = F.current_timestamp() if now is None else now
+    batches = spark.read.schema(PROGRESS).parquet(f"{root}/progress").select("batch_id", "updated_at")
+    recent = batches.where(F.col("updated_at") + F.make_dt_interval(secs=F.lit(HOUR)) > now)
+    events = spark.read.parquet(enriched_path(root)).join(recent, "batch_id")
+    shown = serving.event_entries(events, F.col("updated_at"))
+    shown = shown.unionByName(serving.progress_entries(progress(spark, root)))
+    lists = {"content_id": serving.content_ring_entries, "event_type": serving.type_ring_entries}
+    for key, as_entries in lists.items():
+        ring = rings.read(spark, ring_path(root, key), key, RINGS[key], HOUR, now)
+        shown = shown.unionByName(as_entries(ring, F.col("pushed_at")))
+    return serving.alive(serving.with_expiry(shown), now)
