@@ -27,12 +27,16 @@ def key_of(*parts: str | Column) -> Column:
     return F.concat_ws(":", *pieces)
 
 
-def generated_slug(token: Column, prefix: str = "auto-content-") -> Column:
+# How new items are named (fixed values).
+SLUG_PREFIX, TITLE_PREFIX = "auto-content-", "Auto Generated Content "
+
+
+def generated_slug(token: Column, prefix: str = SLUG_PREFIX) -> Column:
     """A slug from the first eight hex digits of an identifier."""
     return F.concat(F.lit(prefix), F.substring(F.replace(token, F.lit("-"), F.lit("")), 1, 8))
 
 
-def generated_title(slug: Column, prefix: str = "Auto Generated Content ") -> Column:
+def generated_title(slug: Column, prefix: str = TITLE_PREFIX) -> Column:
     return F.concat(F.lit(prefix), F.right(slug, F.lit(4)))
 
 

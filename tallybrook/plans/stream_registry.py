@@ -28,14 +28,17 @@ def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
 def in_slices(rows: DataFrame, by: str, path: str, slices: int = BATCHES) -> int:
     """Write all rows to a folder in ``slices`` steps of rising ``by``, as a feed would arrive.
 
-    Returns how many files make one step, so that a stream over the folder takes as many batches.
+    Every step has the same number of files, which is returned: a stream that takes that many per
+    trigger sees one step per batch, and no batch holds rows older than an earlier one.
     """
     low, high = rows.agg(F.min(by), F.max(by)).first()
     step = (high - low) // slices + 1
+    files = -(-len(rows.inputFiles()) // slices)
     for i in range(slices):
         start = low + i * step
-        rows.where((F.col(by) >= start) & (F.col(by) < start + step)).write.mode("append").parquet(path)
-    return max(1, len(rows.sparkSession.read.parquet(path).inputFiles()) // slices)
+        part = rows.where((F.col(by) >= start) & (F.col(by) < start + step))
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:

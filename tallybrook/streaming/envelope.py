@@ -1,5 +1,7 @@
 """From message envelopes to typed events."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
 
@@ -61,13 +63,24 @@ def to_envelope(events: DataFrame, partition: Column, offset: Column, body: Colu
     )
 
 
+@contextmanager
+def held(batch: DataFrame):
+    """Keep a batch while it is written twice, so that its messages are fetched and parsed once."""
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def store_events(root: str) -> Handler:
     """Write a batch's events to ``root/events`` and the rest to ``root/quarantine``."""
 
     def handler(parsed: DataFrame, batch_id: int) -> None:
-        events, malformed = split_malformed(parsed)
-        write_batch(events, f"{root}/events", batch_id)
-        write_batch(malformed, f"{root}/quarantine", batch_id)
+        with held(parsed):
+            events, malformed = split_malformed(parsed)
+            write_batch(events, f"{root}/events", batch_id)
+            write_batch(malformed, f"{root}/quarantine", batch_id)
 
     return handler
 
@@ -80,8 +93,9 @@ def append_events(db: Database, table: str, root: str) -> Handler:
     """
 
     def handler(parsed: DataFrame, batch_id: int) -> None:
-        events, malformed = split_malformed(parsed)
-        write_batch(malformed, f"{root}/quarantine", batch_id)
-        jdbc.append(events, db, table)
+        with held(parsed):
+            events, malformed = split_malformed(parsed)
+            write_batch(malformed, f"{root}/quarantine", batch_id)
+            jdbc.append(events, db, table)
 
     return handler

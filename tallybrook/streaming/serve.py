@@ -91,7 +91,7 @@ def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame
     """
     now = F.current_timestamp() if now is None else now
     batches = spark.read.schema(PROGRESS).parquet(f"{root}/progress").select("batch_id", "updated_at")
-    recent = batches.where(F.col("updated_at") + F.make_dt_interval(secs=F.lit(HOUR)) > now)
+    recent = batches.where(F.col("updated_at") > now - F.make_dt_interval(secs=F.lit(HOUR)))
     events = spark.read.parquet(enriched_path(root)).join(recent, "batch_id")
     shown = serving.event_entries(events, F.col("updated_at"))
     shown = shown.unionByName(serving.progress_entries(progress(spark, root)))
