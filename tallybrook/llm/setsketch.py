@@ -39,7 +39,7 @@ BANDS = 21
 REGISTERS = ROWS * BANDS
 DOUBT = 0.5
 BLOCK = 2048
-_STEP = 1 << 13
+_STEP = 1 << 10
 _GRID = np.linspace(0.0, 1.0, 129)
 
 
@@ -49,8 +49,7 @@ def registers_of(hashes: np.ndarray) -> np.ndarray:
     turns = odd_numbers(REGISTERS, 23)
     for at in range(0, len(hashes), _STEP):
         part = mix(hashes[at : at + _STEP] + np.uint64(1))
-        for i in range(REGISTERS):
-            least[i] = min(least[i], (part * turns[i]).min())
+        np.minimum(least, np.multiply.outer(turns, part).min(axis=1), out=least)
     # The least of exponential values, from the least of uniform ones.
     value = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64) / RATE
     return np.clip(np.floor(1 - np.log(np.maximum(value, 1e-300)) / np.log(BASE)), 0, TOP + 1).astype("<u2")
