@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import packing
+from tallybrook.llm import (
+    cap_filters, language, licences, mixing, packing, preferences, scaled_sketch, secrets, setsketch, site_quality,
+)
 from tallybrook.llm.common import table
 
 
@@ -14,11 +16,51 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op3_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.format_preferences(table(spark, sf_dir, "conversations"))
+
+
+def op4_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_pack_windows": op5_pack_windows,
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_secret_scan, op3_preference_pairs, op4_cap_filters, op5_pack_windows, op6_licence_rules,
+        op7_mix_sources, op8_setsketch_dedup, op9_site_quality, op10_scaled_fingerprints,
+    )
 }
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {"op6_licence_rules": licences.SQL}

@@ -54,15 +54,16 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by range and then in order; a row meets the next of its range. Guests only follow."""
     before = None
     for batch in batches:
-        rows = []
+        rows, held = [], 0
         for part, guest, doc, text in zip(*(batch.column(i) for i in range(4)), strict=True):
             now = (part.as_py(), guest.as_py(), doc.as_py(), text.as_py() or "")
             if before and not before[1]:
                 rows.append((before[2], before[3], now[3]))
+                held += len(before[3]) + len(now[3])
             before = now
-            if sum(map(len, rows[-1][1:] if rows else ())) > 1 << 20 or len(rows) >= 256:
+            if held > 1 << 20:
                 yield _finger(rows)
-                rows = []
+                rows, held = [], 0
         if rows:
             yield _finger(rows)
 
