@@ -37,11 +37,15 @@ SENTENCES = {
     "released under creative commons attribution 4 0": "q",
     "licensed under creative commons attribution 4 0": "q",
     "all rights reserved": "r",
+    "this program is licensed under the gnu general public license version 3": "n",
+    "this work is licensed under the gnu general public license version 3": "n",
+    "licensed under cc by nc 4 0": "s",
 }
 # Ordered rules.
 RULES = (
     ("MIT", "a"), ("MIT", "fgh"), ("MIT", "fg"), ("Apache-2.0", "b"), ("Apache-2.0", "cde"), ("BSD-2-Clause", "jkl"), ("BSD", "m"),
-    ("GPL-3.0", "n"), ("GPL-3.0", "on"), ("MPL-2.0", "p"), ("CC-BY-4.0", "q"), ("proprietary", "ir"),
+    ("GPL-3.0", "n"), ("GPL-3.0", "on"), ("MPL-2.0", "p"), ("CC-BY-4.0", "q"), ("CC-BY-NC-4.0", "s"),
+    ("proprietary", "ir"),
 )
 CUT = r"[\n\r;]+|\.(?=\s)|\.$"
 
@@ -73,13 +77,13 @@ def _sql() -> str:
     return rf"""
 WITH pieces AS (
   SELECT doc_id, list_filter(string_split_regex(regexp_replace(coalesce(text, ''), '\.(\s)', ';\1', 'g'), '[\n\r;]+|\.$'),
-    s -> regexp_matches(s, '[A-Za-z0-9]')) AS p FROM documents
+    lambda s: regexp_matches(s, '[A-Za-z0-9]')) AS p FROM documents
 ), named AS (
-  SELECT doc_id, array_to_string(list_transform(p, s -> coalesce(MAP {{{pairs}}}[
+  SELECT doc_id, array_to_string(list_transform(p, lambda s: coalesce(MAP {{{pairs}}}[
     regexp_replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), '^copyright .*$', 'copyright')], '-')), '') AS ids
   FROM pieces
 )
-SELECT doc_id, coalesce(array_to_string(list_filter([{cases}], x -> x IS NOT NULL), ','), '') AS licences,
+SELECT doc_id, coalesce(array_to_string(list_filter([{cases}], lambda x: x IS NOT NULL), ','), '') AS licences,
   regexp_replace(coalesce(ids, ''), '-+', '-', 'g') AS sentence_ids
 FROM named
 """

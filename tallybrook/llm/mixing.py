@@ -75,7 +75,7 @@ def mix(
         .select(F.col("s.source").alias("_source"), F.col("s.slot").alias("_slot"), "offset", "source_size", "target"), "offsets")
     joined = rows.join(table, F.col("source").eqNullSafe(F.col("_source")) & (F.col("slot") == F.col("_slot")))
     inside = Window.partitionBy("source", "slot").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    epochs = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")
+    epochs = F.coalesce(F.floor(F.try_divide("target", F.col("source_size").cast("double"))), F.lit(0)).cast("long")
     budget = F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget - F.col("before")))
     return (

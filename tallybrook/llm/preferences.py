@@ -8,7 +8,8 @@ length is never gathered; ordered by ``turn`` and ``tie``, the rows of a part ma
 
 ``pair_by_first_turn`` forms pairs where the data name none: conversations that open with the same turn are
 paired by ascending id, first within ``SALTS`` hashed shares of the group and then, for those left over, among the shares;
-the lower id is the chosen one. An opening that a third of all conversations have is so spread over tasks.
+those still alone are paired with the id beside theirs (2k with 2k + 1), and their prompt is empty. The lower id is
+the chosen one. An opening that a third of all conversations have is so spread over tasks.
 
 Defined results: rows without a conv_id are left out; a null turn comes before turn 0; rows of one turn are ordered
 by role and text, and repeated ones stay; null role or text renders as empty; of equal conversations all is
@@ -37,7 +38,10 @@ def pair_by_first_turn(turns: DataFrame, salts: int = SALTS) -> DataFrame:
 
     first = paired(heads, ["head", "salt"])
     second = paired(first.where("n = 1").select("head", F.col("chosen_id").alias("conv_id")), ["head"])
-    return first.where("n = 2").select("chosen_id", "rejected_id").union(second.where("n = 2").select("chosen_id", "rejected_id"))
+    alone = second.where("n = 1").select(F.col("chosen_id").alias("conv_id"), F.floor(F.col("chosen_id") / 2).alias("near"))
+    third = paired(alone, ["near"])
+    both = [x.where("n = 2").select("chosen_id", "rejected_id") for x in (first, second, third)]
+    return both[0].union(both[1]).union(both[2])
 
 
 def format_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:

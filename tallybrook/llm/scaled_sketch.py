@@ -90,7 +90,7 @@ def fingerprints(docs: DataFrame, ranges: int = RANGES, id_col: str = "doc_id",
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     numbers = rows.select(F.col("doc_id").cast("double").alias("x")).where("x is not null")
     cuts = numbers.approxQuantile("x", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *sorted({*cuts} or {0.0}), float("inf")]
     deal = Bucketizer(splits=splits, inputCol="x", outputCol="range")
     placed = deal.transform(rows.withColumn("x", F.coalesce(F.col("doc_id").cast("double"), F.lit(-float("inf")))))
     placed = placed.select(F.col("range").cast("int").alias("range"), "doc_id", "text")

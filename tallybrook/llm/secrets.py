@@ -87,13 +87,13 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = F.col("found")
 
-    def count(which) -> Column:
-        return F.size(F.filter(found, which)).cast("long")
+    def count(kind: int) -> Column:
+        return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
 
     return _spans(rows, ["doc_id"], scope).select(
-        "doc_id", *(count(lambda x, i=i: x["kind"] == i).alias(f"n_{KINDS[i][0]}") for i in range(3)),
+        "doc_id", *(count(i).alias(f"n_{KINDS[i][0]}") for i in range(3)),
         F.sha2(_named(F.filter(found, lambda x: x["kind"] < 3)), 256).alias("base_sha256"),
-        _named(found).alias("spans"), count(lambda x: x["kind"] > 2).alias("n_linked"),
+        _named(found).alias("spans"), F.size(F.filter(found, lambda x: x["kind"] > 2)).cast("long").alias("n_linked"),
     )
 
 
