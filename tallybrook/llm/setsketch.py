@@ -121,24 +121,33 @@ def _block_pairs(group: pa.Table) -> pa.Table:
     """Likely pairs of different components between the strays and the other classes of a group."""
     stray, asked = (group.column(c).to_numpy(zero_copy_only=False) for c in ("stray", "asks"))
     keys = np.array(group.column("set_key").to_pylist(), dtype=object)
-    parts = np.unique(np.array([x.hex() for x in group.column("component").to_pylist()]), return_inverse=True)[1]
+    rank, parts = (
+        np.unique(np.array([x.hex() for x in group.column(c).to_pylist()]), return_inverse=True)[1]
+        for c in ("set_key", "component")
+    )
     r = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
     n = group.column("n_shingles").to_numpy().astype(float)
     others = np.flatnonzero(~asked)
-    a, b = [], []
+    left, right, kept, held = [], [], [], 0
+
+    def estimate() -> None:
+        i, j = np.concatenate(left), np.concatenate(right)
+        likely = likeliest((r[i] > r[j]).sum(1), (r[i] < r[j]).sum(1), n[i], n[j]) >= DOUBT
+        kept.append((i[likely], j[likely]))
+
     for i in np.flatnonzero(asked):
-        j = others[parts[others] != parts[i]]
-        j = j[[not stray[x] or keys[i] < keys[x] for x in j]] if len(j) else j
-        if not len(j):
-            continue
-        equal = (r[j] == r[i]).sum(1)
-        j = j[equal >= REGISTERS * DOUBT / 2]
-        if not len(j):
-            continue
-        estimate = likeliest((r[i] > r[j]).sum(1), (r[i] < r[j]).sum(1), np.full(len(j), n[i]), n[j])
-        j = j[estimate >= DOUBT]
-        a.extend([keys[i]] * len(j))
-        b.extend(keys[j])
+        j = others[(parts[others] != parts[i]) & (~stray[others] | (rank[i] < rank[others]))]
+        j = j[(r[j] == r[i]).sum(1) >= REGISTERS * DOUBT / 2]
+        left.append(np.full(len(j), i))
+        right.append(j)
+        held += len(j)
+        if held > 1 << 16:
+            estimate()
+            left, right, held = [], [], 0
+    if left:
+        estimate()
+    a = [x for i, _ in kept for x in keys[i]]
+    b = [x for _, j in kept for x in keys[j]]
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
