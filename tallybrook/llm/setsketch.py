@@ -40,6 +40,7 @@ REGISTERS = ROWS * BANDS
 DOUBT = 0.5
 BLOCK = 2048
 _STEP = 1 << 10
+_AT_ONCE = 1 << 17
 _GRID = np.linspace(0.0, 1.0, 129)
 
 
@@ -63,15 +64,19 @@ def likeliest(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.nda
     def chance(x: np.ndarray) -> np.ndarray:
         return np.maximum(-np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE), 1e-12)
 
-    best, chosen = np.full(u.shape, -np.inf), np.zeros(u.shape)
-    for share in _GRID:
-        j = share * bound
+    def score(at: np.ndarray) -> np.ndarray:
+        j = _GRID[at] * bound
         up, down = chance(u - (1 - u) * j), chance(1 - u - u * j)
         equal = np.maximum(1 - up - down, 1e-12)
-        score = above * np.log(up) + below * np.log(down) + (REGISTERS - above - below) * np.log(equal)
-        better = score > best
-        best, chosen = np.where(better, score, best), np.where(better, j, chosen)
-    return chosen
+        return above * np.log(up) + below * np.log(down) + (REGISTERS - above - below) * np.log(equal)
+
+    # The likelihood is concave in the similarity: its greatest grid point is where it stops rising.
+    low, high = np.zeros(u.shape, dtype=int), np.full(u.shape, len(_GRID) - 1)
+    while (low < high).any():
+        middle = (low + high) // 2
+        rises = score(np.minimum(middle + 1, len(_GRID) - 1)) > score(middle)
+        low, high = np.where(rises & (low < high), middle + 1, low), np.where(rises, high, middle)
+    return _GRID[low] * bound
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,25 +132,21 @@ def _block_pairs(group: pa.Table) -> pa.Table:
     )
     r = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
     n = group.column("n_shingles").to_numpy().astype(float)
-    others = np.flatnonzero(~asked)
-    left, right, kept, held = [], [], [], 0
-
-    def estimate() -> None:
-        i, j = np.concatenate(left), np.concatenate(right)
+    strays, others = np.flatnonzero(asked), np.flatnonzero(~asked)
+    theirs = np.ascontiguousarray(r[others].T)
+    kept = []
+    # So many strays at once that their counts stay in a core's cache.
+    some = max(1, _AT_ONCE // max(len(others), 1))
+    for at in range(0, len(strays), some):
+        i = strays[at : at + some, None]
+        equal = np.zeros((len(i), len(others)), dtype=np.uint8)
+        for k in range(REGISTERS):
+            equal += r[i, k] == theirs[k]
+        near = (equal >= REGISTERS * DOUBT / 2) & (parts[others] != parts[i])
+        row, column = np.nonzero(near & (~stray[others] | (rank[i] < rank[others])))
+        i, j = i[row, 0], others[column]
         likely = likeliest((r[i] > r[j]).sum(1), (r[i] < r[j]).sum(1), n[i], n[j]) >= DOUBT
         kept.append((i[likely], j[likely]))
-
-    for i in np.flatnonzero(asked):
-        j = others[(parts[others] != parts[i]) & (~stray[others] | (rank[i] < rank[others]))]
-        j = j[(r[j] == r[i]).sum(1) >= REGISTERS * DOUBT / 2]
-        left.append(np.full(len(j), i))
-        right.append(j)
-        held += len(j)
-        if held > 1 << 16:
-            estimate()
-            left, right, held = [], [], 0
-    if left:
-        estimate()
     a = [x for i, _ in kept for x in keys[i]]
     b = [x for _, j in kept for x in keys[j]]
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
@@ -177,17 +178,20 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
         .groupBy("set_key").agg(F.first("shingles").alias("shingles")), "sets",
     )
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        def side(df: DataFrame, name: str, value: str, alias: str, *more) -> DataFrame:
-            return df.select(F.col("set_key").alias(name), F.col(value).alias(alias), *more)
+    def side(df: DataFrame, name: str, value: str, alias: str, *more) -> DataFrame:
+        return df.select(F.col("set_key").alias(name), F.col(value).alias(alias), *more)
 
+    def estimated(pairs: DataFrame) -> DataFrame:
         known = pairs.join(side(chosen, "a", "registers", "ra", F.col("n_shingles").alias("na")), "a").join(
             side(chosen, "b", "registers", "rb", F.col("n_shingles").alias("nb")), "b")
-        likely = known.mapInArrow(_likely, "a binary, b binary")
+        return known.mapInArrow(_likely, "a binary, b binary")
+
+    def confirm(likely: DataFrame) -> DataFrame:
         full = likely.join(side(sets, "a", "shingles", "sa"), "a").join(side(sets, "b", "shingles", "sb"), "b")
         return stored(full.mapInArrow(_verified(share), "a binary, b binary"), "confirmed")
 
-    first = confirm(members.where("set_key <> centre").select(F.col("set_key").alias("a"), F.col("centre").alias("b")).distinct())
+    central = members.where("set_key <> centre").select(F.col("set_key").alias("a"), F.col("centre").alias("b"))
+    first = confirm(estimated(central.distinct()))
     groups = components(first)
     placed = members.join(groups.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
         "component", F.coalesce("component", "set_key"))
