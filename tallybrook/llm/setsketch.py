@@ -9,8 +9,9 @@ rest is compared on full sets.
 
 Documents with equal sets are one class. In a band every class is first compared with the band's least
 class, which settles groups of copies without listing their pairs. Bands that still hold several
-components are then compared in blocks: each class outside the first component with every class of
-another component, on registers, and only likely pairs leave the task. No band is capped.
+components are then compared in blocks, which hold a bounded number of classes and shingles: each class
+outside the first component with every class of another component, on registers and, where these
+make it likely, on full sets. Only links that join components leave the task. No band is capped.
 
 At similarity 0.75 a pair shares no band with a probability of about 1e-5 and is estimated below
 ``DOUBT`` with about 1e-6; no other link is lost.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybrook.llm.common import id_and_bytes, ship, stored
 from tallybrook.llm.components import components
@@ -39,6 +40,7 @@ BANDS = 21
 REGISTERS = ROWS * BANDS
 DOUBT = 0.5
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
 _STEP = 1 << 10
 _AT_ONCE = 1 << 17
 _GRID = np.linspace(0.0, 1.0, 129)
@@ -109,32 +111,42 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _set(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=np.uint64)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, share: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= share * (len(x) + len(y) - both)
+
+
 def _verified(share: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(s.as_py(), dtype=np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= share * (len(x) + len(y) - both))
+            pairs = zip(batch.column("sa"), batch.column("sb"), strict=True)
+            keep = [_similar(_set(x), _set(y), share) for x, y in pairs]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return check
 
 
-def _block_pairs(group: pa.Table) -> pa.Table:
-    """Likely pairs of different components between the strays and the other classes of a group."""
+def _block_links(group: pa.Table, share: int) -> pa.Table:
+    """Links that join components, between the strays and the other classes of a group.
+
+    Likely pairs of different components are compared on their full sets, the likeliest first; a link
+    makes one component of two, so fewer links than classes leave the task.
+    """
     stray, asked = (group.column(c).to_numpy(zero_copy_only=False) for c in ("stray", "asks"))
-    keys = np.array(group.column("set_key").to_pylist(), dtype=object)
     rank, parts = (
         np.unique(np.array([x.hex() for x in group.column(c).to_pylist()]), return_inverse=True)[1]
         for c in ("set_key", "component")
     )
+    sets = [_set(x) for x in group.column("shingles")]
     r = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
     n = group.column("n_shingles").to_numpy().astype(float)
     strays, others = np.flatnonzero(asked), np.flatnonzero(~asked)
     theirs = np.ascontiguousarray(r[others].T)
-    kept = []
+    links = []
     # So many strays at once that their counts stay in a core's cache.
     some = max(1, _AT_ONCE // max(len(others), 1))
     for at in range(0, len(strays), some):
@@ -145,11 +157,15 @@ def _block_pairs(group: pa.Table) -> pa.Table:
         near = (equal >= REGISTERS * DOUBT / 2) & (parts[others] != parts[i])
         row, column = np.nonzero(near & (~stray[others] | (rank[i] < rank[others])))
         i, j = i[row, 0], others[column]
-        likely = likeliest((r[i] > r[j]).sum(1), (r[i] < r[j]).sum(1), n[i], n[j]) >= DOUBT
-        kept.append((i[likely], j[likely]))
-    a = [x for i, _ in kept for x in keys[i]]
-    b = [x for _, j in kept for x in keys[j]]
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        likeness = likeliest((r[i] > r[j]).sum(1), (r[i] < r[j]).sum(1), n[i], n[j])
+        order = np.argsort(-likeness, kind="stable")
+        for x, y in zip(*(e[order[: (likeness >= DOUBT).sum()]].tolist() for e in (i, j)), strict=True):
+            if parts[x] != parts[y] and _similar(sets[x], sets[y], share):
+                parts[parts == parts[y]] = parts[x]
+                links.append((x, y))
+    keys = group.column("set_key")
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.table({c: pa.array([keys[i].as_py() for i in e], pa.binary()) for c, e in (("a", a), ("b", b))})
 
 
 def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,10 +219,12 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     )
     still = placed.drop("centre").join(open_bands, "band").withColumn("stray", F.col("component") != F.col("main"))
     still = stored(still.join(chosen.select("set_key", "n_shingles", "registers"), "set_key"), "open")
-    counts = still.groupBy("band").agg(
-        F.ceil(F.sum(F.col("stray").cast("int")) / BLOCK).cast("int").alias("asking"),
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("asked"),
-    )
+    def blocks(which: Column) -> Column:
+        """As many as keep a block's classes and its shingles below their bounds."""
+        n, held = F.sum(which.cast("long")), F.sum(F.when(which, F.col("n_shingles")))
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(held / BLOCK_SHINGLES)).cast("int")
+
+    counts = still.groupBy("band").agg(blocks(F.col("stray")).alias("asking"), blocks(F.lit(True)).alias("asked"))
     still = still.drop("main", "n").join(counts, "band")
     turn = F.abs(F.xxhash64("set_key", F.lit(7)) % F.lit(1 << 30)).cast("int")
     asks = (
@@ -218,9 +236,9 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
         .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)))
     )
     columns = ["band", "row", "col", "asks", "stray", "set_key", "component", "n_shingles", "registers"]
-    rest = asks.select(columns).union(answers.select(columns)).groupBy("band", "row", "col").applyInArrow(
-        _block_pairs, "a binary, b binary")
-    second = confirm(rest.distinct())
+    dealt = asks.select(columns).union(answers.select(columns)).join(sets, "set_key")
+    links = dealt.groupBy("band", "row", "col").applyInArrow(lambda group: _block_links(group, share), "a binary, b binary")
+    second = stored(links, "confirmed")
     groups = components(first.union(second)).withColumnRenamed("node", "set_key")
     ids = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     named = classes.select("set_key", "doc_id").join(groups, "set_key", "left").select(
