@@ -6,10 +6,18 @@ and years. Known sentences have identifiers of one character; unknown ones becom
 sequence of identifiers, and a text has its licence where the sequence occurs in the text's own one
 without other sentences in between. A long rule's text holds no shorter rule unless it says so itself.
 
+Before that, known sentences are put on lines of their own: those of ``SENTENCES`` where they are whole but
+wrapped, those of ``STANDARD`` (the usual wordings of licences and their notices) wherever their words follow one
+another, with any signs, line ends and comment marks between them. ``SQL`` knows whole unwrapped sentences only, so it
+agrees on texts without standard wordings.
+
 Defined results: a null, empty or unknown text has no licences and an empty list; texts are taken whole; repeated
 rows are reported each; a rule counts once per text, and licences come in the order of the rules; an empty table gives no rows.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 # Sentences as they stand after normalising, and their identifiers.
@@ -48,23 +56,116 @@ RULES = (
     ("proprietary", "ir"),
 )
 CUT = r"[\n\r;]+|\.(?=\s)|\.$"
+# Further sentences and rules, which the SQL does not have.
+MORE = {
+    "released under the gnu general public license version 2": "v", "released under the gnu lesser general public license version 2 1": "w",
+    "released under the gnu lesser general public license version 3": "x", "released under the gnu affero general public license version 3": "y",
+    "released under the gnu library general public license version 2": "8",
+    "neither name may be used to endorse or promote products": "t", "all advertising materials must display the following acknowledgement": "u",
+    "released under the isc license": "z", "released into the public domain": "0", "released under the zlib license": "1",
+    "released under the boost software license version 1 0": "2", "licensed under creative commons attribution sharealike 4 0": "3",
+    "released under cc0 1 0 universal": "4", "licensed under creative commons attribution noncommercial sharealike 4 0": "5",
+    "licensed under creative commons attribution noderivatives 4 0": "6",
+    "licensed under creative commons attribution noncommercial noderivatives 4 0": "7",
+}
+MORE_RULES = (
+    ("MIT-0", "fh"), ("BSD-3-Clause", "jklt"), ("BSD-4-Clause", "jklu"), ("GPL-2.0", "v"), ("LGPL-2.0", "8"), ("LGPL-2.1", "w"), ("LGPL-3.0", "x"),
+    ("AGPL-3.0", "y"), ("ISC", "z"), ("Unlicense", "0"), ("Zlib", "1"), ("BSL-1.0", "2"), ("CC-BY-SA-4.0", "3"), ("CC0-1.0", "4"),
+    ("CC-BY-NC-SA-4.0", "5"), ("CC-BY-ND-4.0", "6"), ("CC-BY-NC-ND-4.0", "7"),
+)
+# A sequence that is part of a longer one, by what must not follow: clauses of BSD, and grants after a reservation.
+PART_OF = {"jkl": "[tu]", "ir": "[fjz12]"}
+_GPL = r"(?:this (?:program|library|software|file) )?is free software you can redistribute it and or modify it under the terms of the "
+_BY = r"(?: as published by the free software foundation)?(?: either)?(?: in)? version "
+_LATER = r"(?: of the license)?(?: or at your option any later version)?"
+_CC = r"(?:this work is )?licensed under (?:an? |the )?creative commons attribution "
+# Standard wordings, words apart by one blank; the sentence that each stands for.
+STANDARD = (
+    (r"permission is hereby granted free of charge to any person obtaining a copy of this software(?: and associated documentation files the software"
+     r" to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"
+     r" and or sell copies of the software and to permit persons to whom the software is furnished to do so)?(?: subject to the following conditions)?",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    (r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies(?: or substantial portions of the software)?",
+     "the above copyright notice and this permission notice shall be included in all copies"),
+    (r"the software is provided as is without warranty of any kind(?: express or implied including but not limited to the warranties of merchantability"
+     r" fitness for a particular purpose and non ?infringement)?", "the software is provided as is without warranty of any kind"),
+    (r"redistribution and use in source and binary forms (?:with or without modification )?are permitted(?: provided that the following conditions are met)?",
+     "redistribution and use in source and binary forms are permitted"),
+    (r"redistributions of source code must retain the above copyright notice(?: this list of conditions and the following disclaimer)?",
+     "redistributions of source code must retain the above copyright notice"),
+    (r"redistributions in binary form must reproduce the above copyright notice(?: this list of conditions and the following disclaimer"
+     r" in the documentation and or other materials provided with the distribution)?(?: and)?(?![A-Za-z])",
+     "redistributions in binary form must reproduce the above copyright notice"),
+    (r"neither the names? (?:[^ ]+ ){1,40}?may be used to endorse or promote products(?: derived from this software without specific prior written permission)?",
+     "neither name may be used to endorse or promote products"),
+    (r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment",
+     "all advertising materials must display the following acknowledgement"),
+    (r"licensed under the apache license version 2 0 the license", "licensed under the apache license version 2 0"),
+    (r"apache license version 2 0 january 2004", "licensed under the apache license version 2 0"),
+    *((x, x) for x in ("you may not use this file except in compliance with the license", "you may obtain a copy of the license at")),
+    (r"https? www apache org licenses license 2 0", "http www apache org licenses license 2 0"),
+    *(row for kind, version, note, date in (
+        ("", "2", "2", "june 1991"), ("", "3", "3(?: 0)?", "29 june 2007"), ("lesser ", "2 1", "2 1", "february 1999"),
+        ("lesser ", "3", "3(?: 0)?", "29 june 2007"), ("affero ", "3", "3(?: 0)?", "19 november 2007"), ("library ", "2", "2(?: 0)?", "june 1991"))
+      for row in (
+        (f"{_GPL}gnu {kind}general public license{_BY}{note}(?! [0-9]){_LATER}", f"released under the gnu {kind}general public license version {version}"),
+        (f"gnu {kind}general public license version {version} {date}", f"released under the gnu {kind}general public license version {version}"))),
+    (r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0", "released under the mozilla public license version 2 0"),
+    (r"permission to use copy modify and (?:or )?distribute this software (?:and its documentation )?for any purpose with or without fee is hereby granted"
+     r" provided that the above copyright notice and this permission notice appear in all copies", "released under the isc license"),
+    (r"this is free and unencumbered software released into the public domain", "released into the public domain"),
+    (r"permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"
+     r"(?: subject to the following restrictions)?", "released under the zlib license"),
+    (r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+     "released under the boost software license version 1 0"),
+    *((f"{_CC}{kind}4 0(?: international)?(?: license)?", sentence) for kind, sentence in (
+        ("", "licensed under creative commons attribution 4 0"), ("non ?commercial ", "licensed under cc by nc 4 0"),
+        *((k, f"licensed under creative commons attribution {k}4 0") for k in (
+            "sharealike ", "noderivatives ", "noncommercial sharealike ", "noncommercial noderivatives ")))),
+    (r"cc0 1 0 universal", "released under cc0 1 0 universal"),
+)
+# Every known sentence that may be wrapped or is in the table above has one of these.
+_ANY = r"(?i)licen|permission|redistribut|software|rights|advertising|mozilla|cc0|creative"
+_BETWEEN = "[^A-Za-z0-9]+"
+# The number or letter of a clause, which would be a sentence of its own.
+_ITEM = r"(?:(?<![A-Za-z0-9.])(?:[0-9]{1,2}[.)]|\(?[a-z0-9]\))\s+)?"
+
+
+def _lined(text):
+    """``text`` with its known sentences on lines of their own."""
+    out = text
+    for words, sentence in STANDARD:
+        # Blanks stand for what lies between words, also where they are optional or belong to a class.
+        body = words.replace("[^ ]+", "[A-Za-z0-9]+").replace(" ?", "[^A-Za-z0-9]*").replace(" ", _BETWEEN)
+        out = F.regexp_replace(out, f"(?i){_ITEM}(?<![A-Za-z0-9]){body}(?![A-Za-z0-9])", f"\n{sentence}\n")
+    for sentence in (*SENTENCES, *MORE):
+        if " " in sentence:
+            body = sentence.replace(" ", _BETWEEN)
+            out = F.regexp_replace(
+                out, rf"(?i)(?<=^|[\n\r;]|\.\s)[^A-Za-z0-9\n\r;]*{body}[^A-Za-z0-9\n\r;.]*(?=$|[\n\r;]|\.\s|\.$)", f"\n{sentence}\n")
+    return F.when(text.rlike(_ANY), out).otherwise(text)
 
 
 def scan_licences(docs: DataFrame) -> DataFrame:
     """doc_id, licences (comma-joined), sentence_ids."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
+    known = F.create_map(*(F.lit(x) for pair in (SENTENCES | MORE).items() for x in pair))
 
     def identify(sentence):
         plain = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
         return F.coalesce(F.try_element_at(known, F.regexp_replace(plain, "^copyright .*$", "copyright")), F.lit("-"))
 
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    text = _lined(F.coalesce(F.col("text").cast("string"), F.lit("")))
     # Blank pieces lie between the ends of sentences; they are none.
     pieces = F.filter(F.split(text, CUT, -1), lambda s: s.rlike("[A-Za-z0-9]"))
     rows = docs.select("doc_id", F.array_join(F.transform(pieces, identify), "").alias("ids"))
-    names = list(dict.fromkeys(name for name, _ in RULES))
+    rules = (*RULES, *MORE_RULES)
+    names = list(dict.fromkeys(name for name, _ in rules))
+
+    def held(seq: str):
+        return F.col("ids").rlike(f"{seq}(?!{PART_OF[seq]})") if seq in PART_OF else F.instr("ids", seq) > 0
+
     found = F.array_compact(F.array(*(
-        F.when(F.greatest(*[F.instr("ids", seq) for n, seq in RULES if n == name], F.lit(0)) > 0, F.lit(name)) for name in names)))
+        F.when(reduce(or_, [held(seq) for n, seq in rules if n == name]), F.lit(name)) for name in names)))
     return rows.select(
         "doc_id", F.array_join(found, ",").alias("licences"), F.regexp_replace("ids", "-+", "-").alias("sentence_ids"))
 
