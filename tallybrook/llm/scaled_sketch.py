@@ -1,9 +1,11 @@
 """Document fingerprints by threshold-scaled sketches of word shingles.
 
 A fingerprint holds every hash of a five-word shingle that lies below a fixed fraction of the hash
-range (``FRACTION``), so fingerprints merge by union and intersect without bias between documents of
-very unequal lengths. A text whose hashes all lie above it keeps its least one, so that only wordless
-texts have an empty fingerprint. The likeness of two is the containment of the smaller in the larger.
+range (``FRACTION``), so fingerprints intersect without bias between documents of very unequal lengths.
+A text whose hashes all lie above it keeps its least one, so that only wordless
+texts have an empty fingerprint. Such a hash is known by its value: ``merged`` drops it where there are hashes below
+the fraction, and gives the fingerprint of the union. The likeness of two is the containment of the smaller in
+the larger, from the whole sets of shingles where either has fewer than ``FEW`` hashes below the fraction.
 
 For the edited text every document needs the one that follows it by ``doc_id``. Rows are dealt by ranges
 of ids, in one shuffle of the texts; the first row of each range is also sent to the range before it (that of
@@ -26,6 +28,7 @@ from tallybrook.llm.common import ship
 from tallybrook.llm.shingles import shingle_sets
 
 FRACTION = 1 / 8
+FEW = 64
 RANGES = 256
 _LIMIT = np.uint64(int(FRACTION * 2**64))
 
@@ -35,12 +38,24 @@ def retained(hashes: np.ndarray) -> np.ndarray:
     return hashes[: max(1, int(np.searchsorted(hashes, _LIMIT)))]
 
 
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The fingerprint of the union of two sets, from theirs."""
+    return retained(np.union1d(a, b))
+
+
 def containment(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """The containment of two sorted whole sets: exact where a fingerprint is too small to tell."""
+    if min(np.searchsorted(a, _LIMIT), np.searchsorted(b, _LIMIT)) < FEW:
+        return containment(a, b)
+    return containment(retained(a), retained(b))
+
+
 def _text(sketch: np.ndarray) -> str:
     return sketch.astype(">u8").tobytes().hex()
 
@@ -71,13 +86,13 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _finger(rows: list[tuple]) -> pa.RecordBatch:
     changed = [edited(t, f) for _, t, f in rows]
     data = [[x.encode("utf-8", "surrogatepass") for x in texts] for texts in ([t for _, t, _ in rows], changed, [f for _, _, f in rows])]
-    own, new, following = ([retained(s) if len(s) else s for s in shingle_sets(texts)] for texts in data)
+    own, new, following = (list(shingle_sets(texts)) for texts in data)
     columns = [
         pa.array([d for d, _, _ in rows], pa.int64()), pa.array([len(t) for _, t, _ in rows], pa.int64()),
-        pa.array([hashlib.sha256(x).hexdigest() for x in data[1]]), pa.array(map(_text, own), pa.string()),
-        pa.array(map(_text, new), pa.string()),
-        pa.array([containment(a, b) for a, b in zip(own, new, strict=True)], pa.float64()),
-        pa.array([containment(a, b) for a, b in zip(own, following, strict=True)], pa.float64()),
+        pa.array([hashlib.sha256(x).hexdigest() for x in data[1]]), pa.array([_text(retained(x)) for x in own], pa.string()),
+        pa.array([_text(retained(x)) for x in new], pa.string()),
+        pa.array([likeness(a, b) for a, b in zip(own, new, strict=True)], pa.float64()),
+        pa.array([likeness(a, b) for a, b in zip(own, following, strict=True)], pa.float64()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
