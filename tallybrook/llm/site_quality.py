@@ -2,7 +2,7 @@
 
 A logistic model over shape features of a text (shares of kinds of characters, lengths of words and lines,
 repetition) gives a document's own odds. It is fitted on at most ``SAMPLE`` labelled documents, chosen by a
-hash of the id. A site is a host (the source up to its first slash) and a path (the whole source). Grouped
+hash of the id. A site is a host (the source without a URL's scheme, up to its first slash) and a path (the whole source). Grouped
 sums of the own probabilities and of labels give each host a rate that is shrunk toward the global one, and
 each path a rate shrunk toward its host's; the strengths come from the spread of the rates between hosts and
 paths (method of moments), so sparse sites say little. A document's odds are its own, times its path's
@@ -24,6 +24,7 @@ from tallybrook.llm.common import ship
 SAMPLE = 20_000
 SITE_SHARE = 0.5
 REJECT_BELOW = 0.5
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 _KINDS = np.full(256, 5)
 _KINDS[[*range(97, 123)]] = 0
 _KINDS[[*range(65, 91)]] = 1
@@ -133,7 +134,7 @@ def site_posteriors(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, fl
     slim = scored.select("doc_id", F.col("source").cast("string").alias("_path"), own.alias("_own"))
     soft = slim.join(known, "doc_id", "left").withColumn("_p", F.coalesce("_label", "_own"))
     paths = soft.groupBy("_path").agg(F.count("*").alias("n"), F.sum(F.round("_p", 9).cast("decimal(28,9)")).cast("double").alias("good"))
-    paths = paths.withColumn("_host", F.substring_index("_path", "/", 1))
+    paths = paths.withColumn("_host", F.substring_index(F.regexp_replace("_path", SCHEME, ""), "/", 1))
     total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     base = float(np.clip((total["good"] or 0) / max(total["n"] or 0, 1), 0.01, 0.99)) if total["n"] else 0.5
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
