@@ -5,15 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.llm import (
-    cap_filters, language, licences, mixing, packing, preferences, scaled_sketch, secrets, setsketch, site_quality,
+    byte_bpe, cap_filters, language, licences, mixing, packing, preferences, scaled_sketch, secrets, setsketch, site_quality,
 )
 from tallybrook.llm.common import table
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +56,19 @@ def op10_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.encode_documents(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_secret_scan, op3_preference_pairs, op4_cap_filters, op5_pack_windows, op6_licence_rules,
         op7_mix_sources, op8_setsketch_dedup, op9_site_quality, op10_scaled_fingerprints,
+        op11_byte_bpe,
     )
 }
 LLM_SQL: dict[str, str] = {"op6_licence_rules": licences.SQL}
