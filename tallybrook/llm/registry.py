@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.llm import (
-    byte_bpe, cap_filters, language, licences, mixing, packing, preferences, scaled_sketch, secrets, setsketch, site_quality, token_spans,
+    byte_bpe, cap_filters, language, licences, mixing, packing, preferences, prefix_trie, scaled_sketch, secrets, setsketch, site_quality, token_spans,
 )
 from tallybrook.llm.common import table
 
@@ -68,12 +68,16 @@ def op12_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_secret_scan, op3_preference_pairs, op4_cap_filters, op5_pack_windows, op6_licence_rules,
         op7_mix_sources, op8_setsketch_dedup, op9_site_quality, op10_scaled_fingerprints,
-        op11_byte_bpe, op12_token_spans,
+        op11_byte_bpe, op12_token_spans, op13_prefix_trie,
     )
 }
 LLM_SQL: dict[str, str] = {"op6_licence_rules": licences.SQL}
