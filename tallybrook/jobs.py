@@ -103,14 +103,21 @@ def poll(spark: SparkSession, args) -> None:
         lambda: _content(spark, args),
         args.out,
         now,
-        first_low=tables.look_back(now),
+        first_low=None if args.look_back is None else tables.look_back(now, args.look_back),
         deliver=deliver if args.into_database else None,
     )
 
 
 def poll_ids(spark: SparkSession, args) -> None:
-    """Serve what is new by id, a thousand events at a time."""
-    while polling.poll_ids(_events(spark, args), lambda: _content(spark, args), args.out, args.limit):
+    """Serve what no run has served yet, a page at a time."""
+
+    def page(condition: str, limit: int):
+        query = jdbc.page_query(args.events, event_schema().names, condition, limit)
+        return jdbc.read_query(spark, _database(args), query)
+
+    while polling.poll_ids(
+        _events(spark, args), lambda: _content(spark, args), args.out, args.limit, page if args.url else None, args.settle
+    ):
         pass
 
 
@@ -131,7 +138,10 @@ def stream_windows(spark: SparkSession, args) -> None:
 
 def stream_messages(spark: SparkSession, args) -> None:
     if args.servers:
-        messages = kafka.kafka_stream(spark, args.servers, args.topic)
+        messages = kafka.kafka_stream(
+            spark, args.servers, args.topic, starting=args.starting, fail_on_data_loss=args.fail_on_data_loss,
+            max_offsets=args.max_offsets, min_partitions=args.min_partitions,
+        )
     else:
         messages = spark.readStream.schema(envelope_schema()).option("maxFilesPerTrigger", args.files).parquet(args.events)
     if args.into_database:
@@ -167,6 +177,12 @@ def parse_arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--lag", type=int, default=0, help="seconds the poll stays behind the clock")
     parser.add_argument("--servers", help="message bus servers")
     parser.add_argument("--topic", default="engagement_events")
+    parser.add_argument("--starting", default="latest", help="earliest, latest, or offsets per partition as JSON")
+    parser.add_argument("--fail-on-data-loss", action="store_true", help="end with an error if messages are gone")
+    parser.add_argument("--max-offsets", type=int, help="most messages per batch")
+    parser.add_argument("--min-partitions", type=int, help="least tasks a batch of messages is read by")
+    parser.add_argument("--look-back", type=int, help="minutes a first poll looks back; default: everything")
+    parser.add_argument("--settle", type=int, help="id up to which nothing can be committed any more (poll-ids)")
     parser.add_argument("--limit", type=int, default=1000, help="events per poll (poll-ids)")
     parser.add_argument("--url", help="JDBC address; --content and --events are then table names")
     parser.add_argument("--user")

@@ -453,6 +453,7 @@ STREAM_SQL = {
         FROM engagement_events e LEFT JOIN content c ON e.content_id = c.id
         """
     ),
+    "poll_by_id": BATCH_SQL["enriched_events"],
     "partitioned_export": _over_sources(
         """
         SELECT e.*, c.slug AS content_slug, c.title AS content_title, c.content_type,

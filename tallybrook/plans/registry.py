@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybrook.operators import maintain, quality
 from tallybrook.operators import rollup as r
-from tallybrook.operators.enrich import enrich_events, export_rows, next_events, with_measures
+from tallybrook.operators.enrich import enrich_events, export_rows, next_events
 from tallybrook.plans import analysis, reports, serving
 from tallybrook.session import use_utc
 from tallybrook.sources import tables, testdata
@@ -308,7 +308,7 @@ BATCH_QUERIES = {
     "serving_view": over_sources(serving_view),
     "serving_keys": over_sources(key_families),
     "serving_lookup": over_sources(point_lookup),
-    "incremental_by_id": over_sources(lambda c, e: with_measures(next_events(e, c, cursor=0))),
+    "incremental_by_id": over_sources(lambda c, e: next_events(e, c, cursor=0)),
     "incremental_by_updated_at": over_sources(incremental_by_updated_at),
     "content_insert_if_absent": over_folder(content_insert_if_absent),
     "events_insert_serial": over_folder(events_insert_serial),

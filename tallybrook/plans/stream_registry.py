@@ -15,6 +15,7 @@ from tallybrook.streaming import envelope, polling, rings, serve, windows
 from tallybrook.streaming.runner import drain
 
 BATCHES = 4
+PAGE = 40_000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +136,16 @@ def poll_updated_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polling.read_changes(spark, root)
 
 
+def poll_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events served page by page, a seventh of them committed after higher ids had been served."""
+    root = scratch(spark, "poll-ids")
+    events = _events(spark, sf_dir)
+    for there in (events.where("id % 7 <> 3 AND id % 5 <> 1"), events.where("id % 7 <> 3"), events):
+        while polling.poll_ids(there, lambda: _content(spark, sf_dir), root, PAGE):
+            pass
+    return serve.read_enriched(spark, root)
+
+
 def exported_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "export")
     partitioned_export(export_rows(_events(spark, sf_dir), _content(spark, sf_dir)), path)
@@ -150,5 +161,6 @@ STREAM_QUERIES = {
     "stream_parse_envelope": over_folder(stream_parse_envelope),
     "stream_quarantine": over_folder(stream_quarantine),
     "poll_updated_at": over_folder(poll_updated_at),
+    "poll_by_id": over_folder(poll_by_id),
     "partitioned_export": over_folder(exported_by_month),
 }

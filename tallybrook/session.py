@@ -1,5 +1,6 @@
 """Session settings the jobs rely on, and the shared folder they may write scratch tables to."""
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -45,8 +46,11 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    """The cluster's shared checkpoint folder; a temporary one only where none is named and all tasks run on this machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or _own_folder()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -57,6 +57,10 @@ def after_id_query(table: str, columns: list[str], cursor: int, limit: int = 100
         f"WHERE id > {int(cursor)} ORDER BY id LIMIT {int(limit)}"
     )
 
+def page_query(table: str, columns: list[str], condition: str, limit: int = 1000) -> str:
+    """A page of the rows that fulfil ``condition``, lowest ids first."""
+    return f"SELECT {', '.join(columns)} FROM {table} WHERE {condition} ORDER BY id LIMIT {int(limit)}"
+
 
 def write_options(db: Database, table: str, schema: StructType | None = None) -> dict[str, str]:
     """Options of a write. ``truncate`` keeps the table's own definition on overwrite."""

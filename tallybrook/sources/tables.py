@@ -22,12 +22,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def after_id(events: DataFrame, cursor: int, limit: int = 1000) -> DataFrame:
-    """The next ``limit`` events above the cursor, lowest id first.
+def first_by_id(events: DataFrame, limit: int) -> DataFrame:
+    """Order and limit together are a bounded top-k."""
+    return events.orderBy("id").limit(limit)
 
-    The comparison reaches the scan; order and limit together are a bounded top-k.
-    """
-    return events.where(F.col("id") > cursor).orderBy("id").limit(limit)
+
+def after_id(events: DataFrame, cursor: int, limit: int = 1000) -> DataFrame:
+    """The next ``limit`` events above the cursor, lowest id first. The comparison reaches the scan."""
+    return first_by_id(events.where(F.col("id") > cursor), limit)
 
 
 def changed_between(rows: DataFrame, low, high) -> DataFrame:

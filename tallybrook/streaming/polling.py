@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallybrook.operators.enrich import export_rows
 from tallybrook.operators.latest import newest_per_key
 from tallybrook.sinks.tables import write_batch
-from tallybrook.sources.tables import after_id, read_or_empty
-from tallybrook.streaming.serve import PROGRESS, serve_events
+from tallybrook.sources.tables import first_by_id, read_or_empty
+from tallybrook.streaming import ledger as served_ids
+from tallybrook.streaming.serve import enriched_path, serve_events
 
 CURSOR = "high timestamp, batch_id bigint"
 
@@ -59,13 +60,30 @@ def read_changes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def poll_ids(
-    events: DataFrame, content: Callable[[], DataFrame], root: str, limit: int = 1000
+    events: DataFrame,
+    content: Callable[[], DataFrame],
+    root: str,
+    limit: int = 1000,
+    page: Callable[[str, int], DataFrame] | None = None,
+    settle: int | None = None,
 ) -> int:
-    """Serve the next ``limit`` events by id; return how many there were."""
+    """Serve the next ``limit`` events that no poll has served yet, lowest ids first; return how many there were.
+
+    What was served is kept as intervals of ids (``ledger``), so an event committed late, below ids already
+    served, is in a later page. ``page(condition, limit)`` reads a page where the source itself can take
+    condition, order and limit, e.g. a database. Without ids an event can't be told from others and isn't served here.
+    """
     spark = events.sparkSession
-    done = read_or_empty(spark, f"{root}/progress", PROGRESS)
-    last = done.agg(F.max("batch_id").alias("n"), F.max("latest_id").alias("id")).first()
-    number, cursor = (0, 0) if last["n"] is None else (last["n"] + 1, last["id"])
-    serve_events(content, root)(after_id(events, cursor, limit), number)
-    written = read_or_empty(spark, f"{root}/progress", PROGRESS).where(F.col("batch_id") == number)
-    return written.agg(F.coalesce(F.sum("event_count"), F.lit(0))).first()[0]
+    path = f"{root}/ledger"
+    ledger = served_ids.load(spark, path)
+    number = 0 if ledger.batch_id is None else ledger.batch_id + 1
+    condition = served_ids.open_condition(ledger) if page is not None else None
+    rows = page(condition, limit) if condition else first_by_id(served_ids.unserved(events, ledger), limit)
+    serve_events(content, root)(rows, number)
+    # What was written decides: the page itself may read differently the next time.
+    target = f"{enriched_path(root)}/batch_id={number}"
+    written = read_or_empty(spark, target, "id bigint")
+    count = written.count()
+    if count:
+        served_ids.advance(spark, path, ledger, written, number, settle)
+    return count
