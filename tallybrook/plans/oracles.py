@@ -436,15 +436,26 @@ STREAM_SQL = {
         """
         SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts, event_ts AS kafka_timestamp, CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
           id, content_id, user_id, event_type, duration_ms, device, raw_payload
-        FROM engagement_events WHERE event_type IS NOT NULL
+        FROM engagement_events
+        WHERE event_type IS NOT NULL AND id % 11 <> 5 AND id % 13 <> 6 AND id % 17 <> 7 AND id % 19 <> 8
         """
     ),
     "stream_quarantine": _over_sources(
         """
         SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts AS kafka_timestamp,
           CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",
-          'error at ' || coalesce(device, 'no device') AS json_value
-        FROM engagement_events WHERE event_type IS NULL
+          CASE WHEN event_type IS NULL THEN 'error at ' || coalesce(device, 'no device')
+            WHEN id % 11 = 5 THEN '{"id":' || id || ',"event_ts":"2024-01-01","duration_ms":"soon"}'
+            WHEN id % 13 = 6 THEN '{"id":' || id || ',"event_ts":"never","duration_ms":2.5}'
+            WHEN id % 17 = 7 THEN '{"device":"' || id || '"}'
+            ELSE '{"id":' || id || ',"event_ts":"2024' END AS json_value,
+          CASE WHEN event_type IS NULL THEN 'body: no JSON object'
+            WHEN id % 11 = 5 THEN 'duration_ms: not int'
+            WHEN id % 13 = 6 THEN 'event_ts: not timestamp; duration_ms: not int'
+            WHEN id % 17 = 7 THEN 'id: missing; event_ts: missing'
+            ELSE 'body: no JSON object' END AS fault
+        FROM engagement_events
+        WHERE event_type IS NULL OR id % 11 = 5 OR id % 13 = 6 OR id % 17 = 7 OR id % 19 = 8
         """
     ),
     "poll_updated_at": _over_sources(

@@ -96,10 +96,19 @@ def stream_window_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events on a four-partition bus; those of an unknown kind carry a body that is not JSON."""
+    """Events on a four-partition bus. Those of an unknown kind carry a body that is not JSON; of the others
+    some have a length that is no number, some no time or one that is none, some no id, and some are cut short."""
     events = _events(spark, sf_dir)
     unknown = F.concat(F.lit("error at "), F.coalesce("device", F.lit("no device")))
-    body = F.when(F.col("event_type").isNull(), unknown).otherwise(envelope.body_text(events))
+    number = F.col("id").cast("string")
+    body = (
+        F.when(F.col("event_type").isNull(), unknown)
+        .when(F.col("id") % 11 == 5, F.concat(F.lit('{"id":'), number, F.lit(',"event_ts":"2024-01-01","duration_ms":"soon"}')))
+        .when(F.col("id") % 13 == 6, F.concat(F.lit('{"id":'), number, F.lit(',"event_ts":"never","duration_ms":2.5}')))
+        .when(F.col("id") % 17 == 7, F.concat(F.lit('{"device":"'), number, F.lit('"}')))
+        .when(F.col("id") % 19 == 8, F.concat(F.lit('{"id":'), number, F.lit(',"event_ts":"2024')))
+        .otherwise(envelope.body_text(events))
+    )
     return envelope.to_envelope(events, F.col("id") % 4, F.expr("id div 4"), body)
 
 

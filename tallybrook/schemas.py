@@ -22,6 +22,7 @@ DEVICES = ("ios", "android", "web-chrome", "web-safari", "web-edge")
 
 CONTENT_REQUIRED = ("slug", "title", "publish_ts", "updated_at")
 EVENT_REQUIRED = ("event_ts", "updated_at")
+MESSAGE_REQUIRED = ("id", "event_ts")
 
 
 def content_schema(id_type: DataType = StringType()) -> StructType:

@@ -3,10 +3,10 @@
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from tallybrook.functions.text import iso_text
-from tallybrook.schemas import payload_schema
+from tallybrook.schemas import MESSAGE_REQUIRED, payload_schema
 from tallybrook.sinks.tables import write_batch
 from tallybrook.sources import jdbc
 from tallybrook.sources.jdbc import Database
@@ -15,14 +15,36 @@ from tallybrook.streaming.runner import Handler
 ENVELOPE = ("kafka_key", "kafka_timestamp", "partition", "offset")
 
 
+def body_fields(body: Column, schema: StructType) -> dict[str, Column]:
+    """Each field of a VARIANT body in its declared type, and ``fault``: what is wrong with the body, null if nothing.
+
+    A field is read as text and cast, so a number with a fraction or beyond its type's range is a fault and not
+    another number. A field that is absent or JSON null is null.
+    """
+    texts = {f.name: F.try_variant_get(body, f"$['{f.name}']", "string") for f in schema}
+    typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema}
+    broken = [
+        F.when(texts[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in schema
+    ]
+    missing = [F.when(texts[name].isNull(), F.lit(f"{name}: missing")) for name in MESSAGE_REQUIRED if name in texts]
+    fault = F.nullif(F.concat_ws("; ", *broken, *missing), F.lit(""))
+    return {**typed, "fault": fault}
+
+
 def parse_envelope(
     messages: DataFrame, id_type: DataType = StringType(), processed_at: Column | None = None
 ) -> DataFrame:
-    """Envelope columns, the body's fields, the time of processing and the text of the body.
+    """Envelope columns, the body's fields, the time of processing, the text of the body and its ``fault``.
 
-    A body that is not JSON gives null fields; ``split_malformed`` tells the two apart by the id.
+    ``fault`` is null for an event, and else names every field that is absent though required or is not of
+    its type, or says that the body is no JSON object. A body that names a field twice is none.
     """
     processed_at = F.current_timestamp() if processed_at is None else processed_at
+    text = F.col("json_value")
+    # A parser may stop behind the first value; whatever follows it would be lost.
+    is_object = F.schema_of_variant("body").startswith("OBJECT") & F.rtrim(text).endswith("}")
+    fields = body_fields(F.col("body"), payload_schema(id_type))
+    fault = fields.pop("fault")
     return (
         messages.select(
             F.col("key").cast("string").alias("kafka_key"),
@@ -31,15 +53,24 @@ def parse_envelope(
             "offset",
             F.col("value").cast("string").alias("json_value"),
         )
-        .withColumn("event", F.from_json("json_value", payload_schema(id_type)))
-        .select(*ENVELOPE, "event.*", processed_at.alias("processed_at"), "json_value")
+        .withColumn("body", F.try_parse_json("json_value"))
+        .select(
+            *ENVELOPE,
+            *[column.alias(name) for name, column in fields.items()],
+            processed_at.alias("processed_at"),
+            "json_value",
+            F.when(text.isNull(), F.lit("body: absent"))
+            .when(F.coalesce(is_object, F.lit(False)), fault)
+            .otherwise(F.lit("body: no JSON object"))
+            .alias("fault"),
+        )
     )
 
 
 def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(events, messages that hold no event)."""
-    events = parsed.where(F.col("id").isNotNull()).drop("json_value")
-    malformed = parsed.where(F.col("id").isNull()).select(*ENVELOPE, "json_value", "processed_at")
+    """(events, messages that hold none, with their text and what is wrong with it)."""
+    events = parsed.where(F.col("fault").isNull()).drop("json_value", "fault")
+    malformed = parsed.where(F.col("fault").isNotNull()).select(*ENVELOPE, "json_value", "fault", "processed_at")
     return events, malformed
 
 
