@@ -131,9 +131,8 @@ def stream_serve(spark: SparkSession, args) -> None:
 
 
 def stream_windows(spark: SparkSession, args) -> None:
-    counts = windows.window_counts(_event_files(spark, args))
-    handler = windows.store_windows(f"{args.out}/windows")
-    run_until_stopped(start(counts, handler, f"{args.out}/_checkpoint", args.interval))
+    handler = windows.keep_windows(f"{args.out}/windows")
+    run_until_stopped(start(_event_files(spark, args), handler, f"{args.out}/_checkpoint", args.interval))
 
 
 def stream_messages(spark: SparkSession, args) -> None:

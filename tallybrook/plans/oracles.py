@@ -427,11 +427,21 @@ STREAM_SQL = {
           time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
           event_type, count(*) AS n_events, CAST(sum(duration_ms) AS BIGINT) AS total_duration_ms
         FROM engagement_events
-        WHERE time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE
-          <= (SELECT max(event_ts) FROM engagement_events) - INTERVAL 10 MINUTE
         GROUP BY 1, 2, 3
         """
     ),
+    "stream_window_late": _over_sources(
+        """
+        SELECT window_start, event_type, count(CASE WHEN NOT late THEN 1 END) AS n_events, count(CASE WHEN late THEN 1 END) AS n_late
+        FROM (
+          SELECT time_bucket(INTERVAL 5 MINUTE, e.event_ts) AS window_start, e.event_type,
+            coalesce(time_bucket(INTERVAL 5 MINUTE, e.event_ts) + INTERVAL 5 MINUTE <= w.newest - INTERVAL 10 MINUTE, false) AS late
+          FROM engagement_events e
+          JOIN (SELECT t.turn, max(o.event_ts) AS newest FROM (SELECT DISTINCT id % 4 AS turn FROM engagement_events) t
+                LEFT JOIN engagement_events o ON o.id % 4 < t.turn GROUP BY t.turn) w ON w.turn = e.id % 4)
+        GROUP BY 1, 2
+        """
+    ),
     "stream_parse_envelope": _over_sources(
         """
         SELECT CAST(content_id AS VARCHAR) AS kafka_key, event_ts, event_ts AS kafka_timestamp, CAST(id % 4 AS INT) AS partition, id // 4 AS "offset",

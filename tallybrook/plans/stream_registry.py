@@ -90,9 +90,22 @@ def stream_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_window_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "windows")
-    counts = windows.window_counts(event_stream(spark, sf_dir, folder))
-    drain(counts, windows.store_windows(f"{folder}/out"), f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out").drop("batch_id")
+    drain(event_stream(spark, sf_dir, folder), windows.keep_windows(f"{folder}/out"), f"{folder}/checkpoint")
+    return windows.read_windows(spark, f"{folder}/out").drop("closed")
+
+
+def stream_window_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed far out of order: events counted in their window, and those that came behind it."""
+    folder = scratch(spark, "late-windows")
+    raw = testdata.raw_events(spark, sf_dir)
+    per_step = in_slices(raw.withColumn("turn", F.col("event_id") % BATCHES), "turn", f"{folder}/input")
+    files = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", per_step).parquet(f"{folder}/input")
+    stream = testdata.as_instants(testdata.events_view(files))
+    drain(stream, windows.keep_windows(f"{folder}/out"), f"{folder}/checkpoint")
+    key = ["window_start", "event_type"]
+    on_time = windows.read_windows(spark, f"{folder}/out").select(*key, "n_events", F.lit(0).cast("long").alias("n_late"))
+    late = windows.read_late(spark, f"{folder}/out").select(*key, F.lit(0).cast("long").alias("n_events"), F.lit(1).cast("long").alias("n_late"))
+    return on_time.unionByName(late).groupBy(*key).agg(F.sum("n_events").alias("n_events"), F.sum("n_late").alias("n_late"))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +180,7 @@ STREAM_QUERIES = {
     "stream_totals": over_folder(stream_totals),
     "stream_serving_view": over_folder(stream_serving_view),
     "stream_window_5m": over_folder(stream_window_5m),
+    "stream_window_late": over_folder(stream_window_late),
     "stream_parse_envelope": over_folder(stream_parse_envelope),
     "stream_quarantine": over_folder(stream_quarantine),
     "poll_updated_at": over_folder(poll_updated_at),
