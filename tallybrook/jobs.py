@@ -24,10 +24,15 @@ from tallybrook.schemas import envelope_schema, event_schema
 from tallybrook.session import build_session
 from tallybrook.sinks.tables import into_folder, overwrite_table, partitioned_export
 from tallybrook.sources import jdbc, kafka, tables
+from tallybrook.sources.tables import matching_tables
 from tallybrook.streaming import envelope, polling, serve, windows
 from tallybrook.streaming.runner import run_until_stopped, start
 
 
+# Row counts of the analysis tables, taken while they were written.
+COUNTED, COUNTS = "table_counts", "table_name string, n bigint"
+
+
 def _database(args) -> jdbc.Database:
     return jdbc.Database(args.url, args.user, os.environ.get(args.password_env), args.driver)
 
@@ -51,7 +56,11 @@ def _save(args):
 
 
 def analyze(spark: SparkSession, args) -> None:
-    analysis.run_analysis(_content(spark, args), _events(spark, args), _save(args))
+    counts: dict[str, int] = {}
+    save = _save(args) if args.into_database else into_folder(args.out, counts)
+    analysis.run_analysis(_content(spark, args), _events(spark, args), save)
+    if counts:
+        overwrite_table(spark.createDataFrame(sorted(counts.items()), COUNTS).coalesce(1), f"{args.out}/{COUNTED}")
 
 
 def export(spark: SparkSession, args) -> None:
@@ -62,12 +71,13 @@ def export(spark: SparkSession, args) -> None:
 
 def cache(spark: SparkSession, args) -> None:
     """The cache cycle: reads the written analysis tables, so run ``analyze`` to ``--tables`` first."""
-    results = {name: tables.read_table(spark, f"{args.tables}/{name}") for name in analysis.ANALYSIS_TABLES}
+    counts = spark.read.schema(COUNTS).parquet(f"{args.tables}/{COUNTED}")
+    metrics = tables.read_table(spark, f"{args.tables}/content_engagement_metrics")
     view = serving.cache_view(
         _content(spark, args),
         _events(spark, args),
-        reports.analysis_table_counts(results),
-        analysis.metrics_summary(results["content_engagement_metrics"]),
+        matching_tables(counts, reports.ANALYSIS_PATTERNS),
+        analysis.metrics_summary(metrics),
         F.current_timestamp(),
     )
     serving.write_view(view, args.out)

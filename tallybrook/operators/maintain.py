@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallybrook.operators.keyed_join import fits_broadcast, keyed_join
 from tallybrook.operators.latest import newest_per_key
+from tallybrook.session import scratch
+
+# Insert, update, delete.
+OPERATIONS = ("i", "u", "d")
 
 # Serial numbers are dealt per bucket of the key's MD5: 16 ** 3 buckets of about equal size.
 BUCKET_DIGITS = 3
@@ -87,7 +91,7 @@ def upsert(
     ``key`` is unique in the table; the incoming rows may repeat it any number of times.
     """
     columns = table.columns
-    changes = newest_per_key(incoming.select(*columns), key, order)
+    changes = _written_once(newest_per_key(incoming.select(*columns), key, order))
     return _apply(table, changes, columns, key, order[0], touch, None, broadcast_limit)
 
 
@@ -102,12 +106,25 @@ def apply_change_feed(
     """The table after a feed of changes: each key's last change counts, op ``d`` deletes.
 
     The feed has the table's columns, an operation and a sequence that orders the changes of a key.
+    Rows with another operation than ``OPERATIONS`` change nothing; ``unknown_operations`` has them.
     """
     columns = table.columns
-    changes = newest_per_key(feed.select(*columns, op, sequence), key, (sequence,)).drop(sequence)
+    known = feed.where(F.col(op).isin(*OPERATIONS)).select(*columns, op, sequence)
+    changes = _written_once(newest_per_key(known, key, (sequence,)).drop(sequence))
     return _apply(table, changes, columns, key, None, None, op, broadcast_limit)
 
 
+def unknown_operations(feed: DataFrame, op: str = "op") -> DataFrame:
+    return feed.where(~F.coalesce(F.col(op).isin(*OPERATIONS), F.lit(False)))
+
+
+def _written_once(changes: DataFrame) -> DataFrame:
+    """The change set, read by several joins, in the shared folder; its size is then known from its files."""
+    path = scratch(changes.sparkSession, "changes")
+    changes.write.parquet(path)
+    return changes.sparkSession.read.schema(changes.schema).parquet(path)
+
+
 def _apply(table, changes, columns, key, version, touch, op, broadcast_limit) -> DataFrame:
     new = changes.select(F.col(key), F.struct(*columns).alias("_new"), *([F.col(op).alias("_op")] if op else []))
     replaces = F.col("_new").isNotNull()

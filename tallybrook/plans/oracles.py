@@ -407,6 +407,13 @@ STREAM_SQL = {
         FROM engagement_events, (SELECT min(id) AS lo, max(id) AS hi FROM engagement_events)
         """
     ),
+    "stream_heartbeat": _over_sources(
+        """
+        SELECT 'streaming:last_update' AS key, max(id) AS latest_id, 60 AS ttl_seconds,
+          count(CASE WHEN id >= lo + 3 * ((hi - lo) // 4 + 1) THEN 1 END) AS event_count
+        FROM engagement_events, (SELECT min(id) AS lo, max(id) AS hi FROM engagement_events)
+        """
+    ),
     "stream_serving_view": _over_sources(
         """
         SELECT family, key, value, 3600 AS ttl_seconds FROM keyed

@@ -8,7 +8,8 @@ from tallybrook.operators import maintain, quality
 from tallybrook.operators import rollup as r
 from tallybrook.operators.enrich import enrich_events, export_rows, next_events
 from tallybrook.plans import analysis, reports, serving
-from tallybrook.session import use_utc
+from tallybrook.session import scratch, use_utc
+from tallybrook.sinks.tables import into_folder
 from tallybrook.sources import tables, testdata
 
 WRITTEN_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -48,17 +49,15 @@ def daily(content: DataFrame, events: DataFrame) -> DataFrame:
     return analysis.content_engagement_daily(content, r.daily_rollup(events, content))
 
 
-def analysis_tables(content: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "content_engagement_metrics": metrics(content, events),
-        "content_engagement_daily": daily(content, events),
-        "content_type_analysis": analysis.content_type_analysis(content, r.by_content(events)),
-        "device_analysis": analysis.device_analysis(events),
-    }
+def written_tables(content: DataFrame, events: DataFrame) -> tuple[str, DataFrame]:
+    """The analysis tables, written once, and their row counts, taken while they were written."""
+    root, counts = scratch(content.sparkSession, "analysis"), {}
+    analysis.run_analysis(content, events, into_folder(root, counts))
+    return root, reports.matching_counts(content.sparkSession, counts)
 
 
 def table_counts(content: DataFrame, events: DataFrame) -> DataFrame:
-    return reports.analysis_table_counts(analysis_tables(content, events))
+    return written_tables(content, events)[1]
 
 
 def summary(content: DataFrame, events: DataFrame) -> DataFrame:
@@ -66,9 +65,9 @@ def summary(content: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def serving_view(content: DataFrame, events: DataFrame) -> DataFrame:
-    cached = serving.cache_view(
-        content, events, table_counts(content, events), summary(content, events), F.lit(WRITTEN_AT)
-    )
+    root, counts = written_tables(content, events)
+    known = analysis.metrics_summary(content.sparkSession.read.parquet(f"{root}/content_engagement_metrics"))
+    cached = serving.cache_view(content, events, counts, known, F.lit(WRITTEN_AT))
     return cached.unionByName(serving.events_view(content, events, F.lit(WRITTEN_AT)))
 
 
@@ -253,7 +252,7 @@ def incremental_by_updated_at(content: DataFrame, events: DataFrame) -> DataFram
         high = None if high is None else F.lit(high).cast("timestamp_ntz")
         part = tables.changed_between(events, low, high)
         parts = part if parts is None else parts.unionByName(part)
-    once = maintain.newest_per_key(parts, ("id", "updated_at"), ("updated_at",))
+    once = parts.dropDuplicates(["id", "updated_at"])
     named = content.withColumn("id", F.col("id").cast("string"))
     return export_rows(tables.with_text_ids(once), named)
 

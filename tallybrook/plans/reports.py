@@ -1,6 +1,6 @@
 """Small reports over the source and result tables."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybrook.functions.text import key_of
 from tallybrook.operators.latest import latest_per_key, latest_per_many_keys
@@ -62,6 +62,11 @@ def event_stats(events: DataFrame) -> DataFrame:
 ANALYSIS_PATTERNS = ("%analysis%", "%metrics%")
 
 
+def matching_counts(spark: SparkSession, counts: dict[str, int], patterns=ANALYSIS_PATTERNS) -> DataFrame:
+    """Of the rows counted while tables were written, those of tables whose names match."""
+    return matching_tables(spark.createDataFrame(sorted(counts.items()), "table_name string, n bigint"), patterns)
+
+
 def analysis_table_counts(tables: dict[str, DataFrame], patterns=ANALYSIS_PATTERNS) -> DataFrame:
     """Row counts of the tables whose names match; a plain ``%`` pattern, as in SQL LIKE."""
     counts = None

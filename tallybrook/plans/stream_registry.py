@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
+from tallybrook.plans import serving
 from tallybrook.plans.registry import over_folder
 from tallybrook.operators.enrich import export_rows
 from tallybrook.session import scratch
@@ -82,6 +83,13 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.progress(spark, _served(spark, sf_dir)).drop("updated_at")
 
 
+def stream_heartbeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heartbeat's count and latest id, as they stand in its value."""
+    beat = serving.progress_entries(serve.progress(spark, _served(spark, sf_dir))).where(F.col("key") == "streaming:last_update")
+    said = lambda name: F.get_json_object("value", f"$.{name}").try_cast("long").alias(name)
+    return beat.select("key", said("event_count"), said("latest_id"), "ttl_seconds")
+
+
 def stream_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every key but the heartbeat, whose value is the time of the run."""
     shown = serve.view(spark, _served(spark, sf_dir)).drop("written_at", "expires_at")
@@ -178,6 +186,7 @@ STREAM_QUERIES = {
     "stream_enrich": over_folder(stream_enrich),
     "stream_rings": over_folder(stream_rings),
     "stream_totals": over_folder(stream_totals),
+    "stream_heartbeat": over_folder(stream_heartbeat),
     "stream_serving_view": over_folder(stream_serving_view),
     "stream_window_5m": over_folder(stream_window_5m),
     "stream_window_late": over_folder(stream_window_late),

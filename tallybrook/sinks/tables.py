@@ -1,6 +1,6 @@
 """Parquet tables: typed overwrite, appends that can be replayed, and the partitioned export."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallybrook.schemas import conform
@@ -10,9 +10,23 @@ def overwrite_table(df: DataFrame, path: str, schema: StructType | None = None)
     (df if schema is None else conform(df, schema)).write.mode("overwrite").parquet(path)
 
 
-def into_folder(root: str):
-    """A ``save(table, name)`` that overwrites one Parquet table per name below ``root``."""
-    return lambda df, name: overwrite_table(df, f"{root}/{name}")
+def overwrite_counted(df: DataFrame, path: str) -> int:
+    """Overwrite, and the number of rows as they were written; the table isn't read to be counted."""
+    written = Observation()
+    overwrite_table(df.observe(written, F.count(F.lit(1)).alias("n")), path)
+    return written.get["n"]
+
+
+def into_folder(root: str, counts: dict[str, int] | None = None):
+    """A ``save(table, name)`` that overwrites one Parquet table per name below ``root``; ``counts`` gets
+    the rows of each."""
+
+    def save(df: DataFrame, name: str) -> None:
+        n = overwrite_counted(df, f"{root}/{name}")
+        if counts is not None:
+            counts[name] = n
+
+    return save
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> str:

@@ -8,16 +8,16 @@ increment is done again and replaces what it had written.
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from tallybrook.operators.enrich import export_rows
-from tallybrook.operators.latest import newest_per_key
 from tallybrook.sinks.tables import write_batch
 from tallybrook.sources.tables import first_by_id, read_or_empty
 from tallybrook.streaming import ledger as served_ids
 from tallybrook.streaming.serve import enriched_path, serve_events
 
-CURSOR = "high timestamp, batch_id bigint"
+CURSOR = "high timestamp, batch_id bigint, recent array<struct<batch_id: bigint, newest: timestamp>>"
+EXPORTED = "id bigint, updated_at timestamp"
 
 
 def poll_changes(
@@ -35,26 +35,42 @@ def poll_changes(
     ``changed(low, high)`` reads the rows changed in (low, high]. Each increment looks back by
     ``overlap`` for rows that were committed late, and leaves out what earlier ones exported.
     ``deliver(rows, number)`` passes the increment on, e.g. to a database, before the cursor moves.
+
+    The cursor is one row in one of two turns' folders. It names the increments that reach into the
+    next look-back by their newest change, and only those are opened, whatever their number so far. A longer
+    ``overlap`` than before takes effect one call later.
     """
-    cursor = read_or_empty(spark, f"{root}/cursor", CURSOR)
-    last = cursor.agg(F.max("batch_id").alias("n"), F.max_by("high", "batch_id").alias("high")).first()
-    number = 0 if last["n"] is None else last["n"] + 1
-    low = first_low if last["n"] is None else last["high"] - overlap
-    rows = newest_per_key(changed(low, high), ("id", "updated_at"), ("updated_at",))
-    if number > 0:
-        done = spark.read.parquet(f"{root}/changes").where(F.col("batch_id") < number)
-        recent = done.where(F.col("updated_at") > F.lit(low)).select("id", "updated_at")
-        rows = rows.join(recent, ["id", "updated_at"], "left_anti")
+    last = _cursor(spark, root)
+    number = 0 if last is None else last.batch_id + 1
+    low = first_low if last is None else last.high - overlap
+    rows = changed(low, high).dropDuplicates(["id", "updated_at"])
+    recent = [] if last is None else [(x.batch_id, x.newest) for x in last.recent if x.newest > low]
+    if recent:
+        done = spark.read.schema(EXPORTED).parquet(*[f"{root}/changes/batch_id={n}" for n, _ in recent])
+        done = done.where(F.col("updated_at") > F.lit(low)).select(F.col("id"), "updated_at")
+        rows = rows.join(done, ["id", "updated_at"], "left_anti")
+    newest = Observation()
+    exported = export_rows(rows, content()).observe(newest, F.max("updated_at").alias("newest"))
     # Sorted by change time, so that the next increment's look-back skips most row groups.
-    exported = export_rows(rows, content()).sortWithinPartitions("updated_at")
-    written = write_batch(exported, f"{root}/changes", number)
+    written = write_batch(exported.sortWithinPartitions("updated_at"), f"{root}/changes", number)
     if deliver is not None:
         deliver(spark.read.parquet(written), number)
-    stamp = spark.range(1).select(F.lit(high).cast("timestamp").alias("high"))
-    write_batch(stamp, f"{root}/cursor", number)
+    reached = newest.get["newest"]
+    if reached is not None:
+        recent.append((number, reached))
+    # Rows come back in local time without a zone.
+    ahead = (high.astimezone().replace(tzinfo=None) if high.tzinfo else high) - overlap
+    recent = [(n, newest) for n, newest in recent if newest > ahead]
+    state = spark.createDataFrame([(high, number, recent)], CURSOR)
+    state.write.mode("overwrite").parquet(f"{root}/cursor/turn={number % 2}")
     return number
 
 
+def _cursor(spark: SparkSession, root: str) -> Row | None:
+    turns = [read_or_empty(spark, f"{root}/cursor/turn={i}", CURSOR).first() for i in (0, 1)]
+    return max((x for x in turns if x is not None), key=lambda x: x.batch_id, default=None)
+
+
 def read_changes(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/changes").drop("batch_id")
 

@@ -29,8 +29,13 @@ def fold(spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int, thr
     if last is not None and last >= through:
         return
     rows = _rows(spark, path).where(F.col("batch_id") <= through)
-    alive = _unlapsed(rows, key, ttl_seconds).drop("pushed_at")
-    kept = latest_per_key(alive, key, n, slices=1).drop("rank")
+    alive = _unlapsed(rows, key, ttl_seconds).withColumns(
+        {"run_start": F.col("_since"), "run_end": F.col("pushed_at")}).drop("_since", "pushed_at")
+    newest_alive = latest_per_key(alive, key, n, slices=1).drop("rank")
+    # Readers without a lifetime see lapsed rows too, as long as they are among the newest.
+    newest = latest_per_key(rows, key, n, slices=1).drop("rank")
+    same = newest["id"].eqNullSafe(newest_alive["id"]) & newest[key].eqNullSafe(newest_alive[key])
+    kept = newest_alive.unionByName(newest.join(newest_alive, same, "left_anti"))
     kept.write.mode("overwrite").parquet(f"{path}/bases/{through}")
     write_batch(spark.range(1).select(F.lit(through).cast("bigint").alias("through")), f"{path}/folded", through)
 
@@ -43,13 +48,14 @@ def read(
     time of the list's last push."""
     rows = _rows(spark, path)
     if ttl_seconds is not None:
-        rows = _unlapsed(rows, key, ttl_seconds, F.current_timestamp() if now is None else now)
+        rows = _unlapsed(rows, key, ttl_seconds, F.current_timestamp() if now is None else now).drop("_since")
     # A key has at most n rows per segment, so ranking it at once is safe.
-    return latest_per_key(rows.drop("batch_id", "written_at"), key, n, slices=1)
+    return latest_per_key(rows.drop("batch_id", "written_at", "run_start", "run_end"), key, n, slices=1)
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
-    segments = spark.read.parquet(f"{path}/segments")
+    """A row's run is the time from the first to the last push by which its list was kept alive, as far as known."""
+    segments = spark.read.parquet(f"{path}/segments").withColumns({"run_start": F.col("written_at"), "run_end": F.col("written_at")})
     last = _last_fold(spark, path)
     if last is None:
         return segments
@@ -65,20 +71,20 @@ def _last_fold(spark: SparkSession, path: str) -> int | None:
 def _unlapsed(rows: DataFrame, key: str, ttl_seconds: int, now: Column | None = None) -> DataFrame:
     """Drop what was pushed before a list last expired, and lists that have expired by ``now``.
 
-    Decided on the push times per key, which are as many as there are segments to read.
+    Decided on the runs per key, which are as many as there are segments to read.
     """
-    in_order = Window.partitionBy(key).orderBy("written_at")
-    pushes = rows.groupBy(key, "written_at").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("run_start", "run_end").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy(key, "run_start", "run_end").agg(F.count(F.lit(1)).alias("_n"))
     lifetime = F.make_dt_interval(secs=F.lit(ttl_seconds))
-    before = F.lag("written_at").over(in_order)
-    starts = before.isNull() | (F.col("written_at") > before + lifetime)
+    before = F.max("run_end").over(earlier)
+    starts = before.isNull() | (F.col("run_start") > before + lifetime)
     lists = (
-        pushes.withColumn("_starts", F.when(starts, F.col("written_at")))
+        runs.withColumn("_starts", F.when(starts, F.col("run_start")))
         .groupBy(key)
-        .agg(F.max("_starts").alias("_since"), F.max("written_at").alias("pushed_at"))
+        .agg(F.max("_starts").alias("_since"), F.max("run_end").alias("pushed_at"))
         .withColumnRenamed(key, "_key")
     )
     if now is not None:
         lists = lists.where(F.col("pushed_at") + lifetime > now)
     same = rows[key].eqNullSafe(lists["_key"]) & (rows["written_at"] >= lists["_since"])
-    return rows.join(lists, same, "inner").drop("_key", "_since")
+    return rows.join(lists, same, "inner").drop("_key")

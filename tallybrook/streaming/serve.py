@@ -7,7 +7,7 @@ table per key. Totals, cursors and heartbeats are read from ``progress``, never
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from tallybrook.operators.enrich import enrich_events
 from tallybrook.plans import serving
@@ -38,15 +38,19 @@ def serve_events(
     """Enrich each batch and write its events, progress and ring entries.
 
     ``content`` is called per batch, so items published meanwhile are seen. The batch itself is
-    read once; everything after the first write comes from what was written.
+    read once; what follows comes from what was written, and counts from the write itself.
     """
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        target = write_batch(enrich_events(batch, content()), enriched_path(root), batch_id)
+        seen = Observation()
+        enriched = enrich_events(batch, content()).observe(
+            seen, F.count(F.lit(1)).alias("event_count"), F.max("id").alias("latest_id"))
+        target = write_batch(enriched, enriched_path(root), batch_id)
         saved = spark.read.parquet(target)
+        beat = spark.createDataFrame([(seen.get["event_count"], seen.get["latest_id"])], "event_count bigint, latest_id bigint")
 
         def push(key: str, n: int) -> None:
             path = ring_path(root, key)
@@ -54,20 +58,13 @@ def serve_events(
             if batch_id % fold_every == fold_every - 1:
                 rings.fold(spark, path, key, n, HOUR, batch_id)
 
-        writes = [partial(write_batch, batch_progress(saved), f"{root}/progress", batch_id)]
+        beat = beat.withColumn("updated_at", F.current_timestamp())
+        writes = [partial(write_batch, beat, f"{root}/progress", batch_id)]
         together(spark, writes + [partial(push, key, n) for key, n in ring_sizes.items()])
 
     return handler
 
 
-def batch_progress(events: DataFrame) -> DataFrame:
-    return events.agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.max("id").alias("latest_id"),
-        F.current_timestamp().alias("updated_at"),
-    )
-
-
 def read_enriched(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(enriched_path(root)).drop("batch_id")
 
@@ -93,6 +90,9 @@ def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame
     batches = spark.read.schema(PROGRESS).parquet(f"{root}/progress").select("batch_id", "updated_at")
     recent = batches.where(F.col("updated_at") > now - F.make_dt_interval(secs=F.lit(HOUR)))
     events = spark.read.parquet(enriched_path(root)).join(recent, "batch_id")
+    # An event that came in several batches has one key; its last version is shown.
+    versions = Window.partitionBy("id").orderBy(F.desc("batch_id"))
+    events = events.withColumn("_version", F.row_number().over(versions)).where("_version = 1").drop("_version")
     shown = serving.event_entries(events, F.col("updated_at"))
     shown = shown.unionByName(serving.progress_entries(progress(spark, root)))
     lists = {"content_id": serving.content_ring_entries, "event_type": serving.type_ring_entries}
