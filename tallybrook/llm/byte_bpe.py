@@ -19,9 +19,11 @@ that are not UTF-8 are read as U+FFFD. A text is encoded whole, whatever its len
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,10 @@ from pyspark.sql import DataFrame
 
 from tallybrook.llm.common import id_and_bytes, ship
 
-STATES = 200_000
-KEPT = 400_000
+STATES = 400_000
+KEPT = 800_000
 KEPT_LENGTH = 64
-BLOCK = 256
+BLOCK = 4096
 NEVER = 1 << 40
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -51,7 +53,8 @@ class Merges:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._borders: dict[tuple[int, int], bool] = {}
+        self._borders: dict[int, bool] = {}
+        self._spines: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
 
     def halves(self, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None if the merges don't make it of its bytes."""
@@ -73,35 +76,42 @@ class Merges:
         return len(self.tokens[rank]) == 1 or self.halves(rank) is not None
 
     def _spine(self, rank: int, side: int) -> list[int]:
-        """The tokens that stand at one edge of this one while it is made, from a byte on."""
-        edge = [rank]
-        while len(self.tokens[edge[-1]]) > 1:
-            edge.append(self.halves(edge[-1])[side])
-        return edge[::-1]
+        """The tokens that stand at one edge of this one while it is made, from a byte on; none if it isn't made of its bytes."""
+        spine = self._spines[side].get(rank)
+        if spine is None:
+            if len(self.tokens[rank]) == 1:
+                spine = [rank]
+            else:
+                halves = self.halves(rank)
+                spine = [*self._spine(halves[side], side), rank] if halves else []
+            self._spines[side][rank] = spine
+        return spine
 
     def borders(self, left: int, right: int) -> bool:
         """True if no merge joins the end of ``left`` with the start of ``right`` while both are made."""
-        key = (left, right)
-        if key not in self._borders:
-            tokens, ranks = self.tokens, self.ranks
-            xs, ys, i, j = self._spine(left, 1), self._spine(right, 0), 0, 0
-            while True:
-                next_x = xs[i + 1] if i + 1 < len(xs) else NEVER
-                next_y = ys[j + 1] if j + 1 < len(ys) else NEVER
-                joined = ranks.get(tokens[xs[i]] + tokens[ys[j]], NEVER)
-                # Of merges of one rank the leftmost is first.
-                if joined < next_x and joined <= next_y and joined < NEVER:
-                    apart = False
-                    break
-                if next_x == next_y == NEVER:
-                    apart = True
-                    break
-                if next_x <= next_y:
-                    i += 1
-                else:
-                    j += 1
-            self._borders[key] = apart
-        return self._borders[key]
+        key = left << 32 | right
+        apart = self._borders.get(key)
+        if apart is None:
+            apart = self._borders[key] = self._apart(self._spine(left, 1), self._spine(right, 0))
+        return apart
+
+    def _apart(self, xs: list[int], ys: list[int]) -> bool:
+        tokens, ranks, i, j = self.tokens, self.ranks, 0, 0
+        if not ys:
+            return False
+        while True:
+            next_x = xs[i + 1] if i + 1 < len(xs) else NEVER
+            next_y = ys[j + 1] if j + 1 < len(ys) else NEVER
+            joined = ranks.get(tokens[xs[i]] + tokens[ys[j]], NEVER)
+            # Of merges of one rank the leftmost is first.
+            if joined < next_x and joined <= next_y and joined < NEVER:
+                return False
+            if next_x == next_y == NEVER:
+                return True
+            if next_x <= next_y:
+                i += 1
+            else:
+                j += 1
 
 
 class Transducer:
@@ -132,36 +142,36 @@ class Transducer:
 
     def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, paths = self.states[number]
-        after, done = [], None
+        children, merges, after, done = self.children, self.merges, [], None
         for emitted, node in paths:
-            if (node := self.children[node].get(byte)) is None:
+            if (node := children[node].get(byte)) is None:
                 continue
-            if self.children[node]:
+            if children[node]:
                 after.append((emitted, node))
-            token = self.ends[node]
-            if token >= 0 and done is None and self.merges.made(token):
+            if done is None and (token := self.ends[node]) >= 0:
                 before = emitted[-1] if emitted else last
-                if before < 0 or self.merges.borders(before, token):
+                if merges.made(token) if before < 0 else merges.borders(before, token):
                     done = (*emitted, token)
         if done is None:
             raise ValueError(f"byte {byte} is in no token")
-        # The path that has just ended a token is last; it is the one to accept.
-        after.append((done, 0))
         common = len(done)
         for emitted, _ in after:
-            n = 0
-            while n < common and n < len(emitted) and emitted[n] == done[n]:
-                n += 1
-            common = n
+            if emitted[:common] != done[:common]:
+                common = next(i for i, x in enumerate(done) if i >= len(emitted) or emitted[i] != x)
+                if not common:
+                    break
         out = done[:common]
-        rest = tuple((emitted[common:], node) for emitted, node in after)
+        # The path that has just ended a token is last; it is the one to accept.
+        after.append((done, 0))
+        rest = tuple([(emitted[common:], node) for emitted, node in after]) if common else tuple(after)
         # The token before is asked for only by a path that has emitted nothing since.
-        state = ((out[-1] if out else last) if any(not emitted for emitted, _ in rest) else -1, rest)
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
+        state = ((out[-1] if out else last) if any([not emitted for emitted, _ in rest]) else -1, rest)
+        after_number = self.numbers.get(state)
+        if after_number is None:
+            after_number = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.steps.append({})
-        step = self.steps[number][byte] = (self.numbers[state], out)
+        step = self.steps[number][byte] = (after_number, out)
         return step
 
     def feed(self, data: Iterable[int]) -> Iterator[int]:
@@ -204,8 +214,8 @@ class Decoder:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.first = {b: then for low, high, then in _FIRST for b in range(low, high + 1)}
-        # Blocks of tokens that are whole characters need no machine.
-        self.whole = [self._is_whole(x) for x in tokens]
+        # Tokens that are whole characters by themselves.
+        self.whole = np.array([self._is_whole(x) for x in tokens], dtype=bool)
 
     @staticmethod
     def _is_whole(token: bytes) -> bool:
@@ -218,36 +228,48 @@ class Decoder:
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         held, expects, ids = bytearray(), None, iter(ids)
         while block := list(islice(ids, BLOCK)):
-            if expects is None and all(map(self.whole.__getitem__, block)):
-                yield self.bytes_of(block).decode("utf-8")
-                continue
-            text = []
-            for byte in self.bytes_of(block):
-                if expects is not None:
-                    left, low, high = expects
-                    if low <= byte <= high:
-                        held.append(byte)
-                        expects = (left - 1, 0x80, 0xBF) if left > 1 else None
-                        if expects is None:
-                            text.append(held.decode("utf-8"))
-                            held.clear()
-                        continue
-                    text.append("�")
-                    held.clear()
-                    expects = None
-                if byte in self.first:
-                    expects = self.first[byte]
-                    held.append(byte)
-                    if expects is None:
-                        text.append(chr(byte))
-                        held.clear()
-                else:
-                    text.append("�")
+            broken = [*np.flatnonzero(~self.whole[np.array(block)]).tolist(), len(block)]
+            text, at = [], 0
+            for stop in broken:
+                # Whole characters need no machine; those that interrupt an unfinished one do.
+                while expects is not None and at < stop:
+                    expects = self._feed(self.tokens[block[at]], held, expects, text)
+                    at += 1
+                if at < stop:
+                    text.append(self.bytes_of(block[at:stop]).decode("utf-8"))
+                if stop < len(block):
+                    expects = self._feed(self.tokens[block[stop]], held, expects, text)
+                at = stop + 1
             if text:
                 yield "".join(text)
         if held:
             yield "�"
 
+    def _feed(self, token: bytes, held: bytearray, expects: tuple | None, text: list[str]) -> tuple | None:
+        """Add to ``text`` what the token's bytes complete; ``held`` and the state returned stand for the rest."""
+        for byte in token:
+            if expects is not None:
+                left, low, high = expects
+                if low <= byte <= high:
+                    held.append(byte)
+                    expects = (left - 1, 0x80, 0xBF) if left > 1 else None
+                    if expects is None:
+                        text.append(held.decode("utf-8"))
+                        held.clear()
+                    continue
+                text.append("�")
+                held.clear()
+                expects = None
+            if byte in self.first:
+                expects = self.first[byte]
+                if expects is None:
+                    text.append(chr(byte))
+                else:
+                    held.append(byte)
+            else:
+                text.append("�")
+        return expects
+
     def bytes_of(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -260,7 +282,8 @@ class _Kept(dict):
         self.codec = codec
 
     def __missing__(self, match: str) -> bytes:
-        ids = np.array(self.codec.match_ids(match.encode("utf-8")), dtype="<u4").tobytes()
+        found = self.codec.match_ids(match.encode("utf-8"))
+        ids = pack(f"<{len(found)}I", *found)
         if len(match) <= KEPT_LENGTH:
             if len(self) >= KEPT:
                 self.clear()
@@ -277,6 +300,9 @@ class Codec:
         self.transducer = Transducer(self.merges)
         self.decoder = Decoder(self.merges.tokens)
         self.split = regex.compile(pattern).findall
+        # In ASCII text the classes of the pattern are these, and the standard library finds them sooner.
+        plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.split_ascii = None if r"\p" in plain else re.compile(plain, re.ASCII).findall
         self.names = [str(i) for i in range(len(self.merges.tokens))]
         self.kept = _Kept(self)
 
@@ -285,7 +311,8 @@ class Codec:
         return self.transducer.encode(data) if whole is None else [whole]
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.kept.__getitem__, self.split(text))), dtype="<u4")
+        split = self.split_ascii if self.split_ascii and text.isascii() else self.split
+        return np.frombuffer(b"".join(map(self.kept.__getitem__, split(text))), dtype="<u4")
 
 
 @cache
