@@ -33,9 +33,10 @@ from pyspark.sql import DataFrame, functions as F
 from tallybrook.llm.common import id_and_bytes, portions, ship, stored
 
 CHUNK = 4 << 20
-KEPT = 600_000
+KEPT = 450_000
 KEPT_LENGTH = 64
 ROW = 256
+SLAB = 40
 MARK = "▁"
 _VISIBLE = (
     r"!-~\u00a1-\u167f\u1681-\u180d\u180f-\u1fff\u2010-\u2027\u2030-\u205e\u2070-\u2580\u2582-\u2fff\u3001-\ud7ff"
@@ -103,9 +104,9 @@ class Aligner:
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.figures = np.empty((0, 4), dtype=np.int64)
+        self.figures = np.empty((0, 4), dtype=np.int32)
         self.groups: list[str | None] = []
-        self.codes = np.empty(0, dtype=np.int64)
+        self.codes = np.empty(0, dtype=np.uint32)
         self.starts = np.empty(0, dtype=np.int64)
 
     def stretches(self, text: str) -> list[str]:
@@ -135,17 +136,27 @@ class Aligner:
         for number, text in enumerate(texts, len(self.groups)):
             self.numbers[text] = number
         self.groups += [None] * len(texts)
-        self.figures = np.concatenate([self.figures, np.zeros((len(texts), 4), dtype=np.int64)])
+        self.figures = np.concatenate([self.figures, np.zeros((len(texts), 4), dtype=np.int32)])
         self.starts = np.concatenate([self.starts, np.zeros(len(texts), dtype=np.int64)])
         joined = set(whole)
         # A row with a text that its tokens don't make up is taken text by text.
-        failed = [x for unit in self._learn(units) for x in unit]
-        self._learn([[x] for x in [*failed, *(x for x in texts if x not in joined)]])
-
-    def _learn(self, units: list[list[str]]) -> list[list[str]]:
-        """Align each unit's texts joined; the units that their tokens don't make up."""
-        if not units:
-            return []
+        failed = [x for unit in self._learn_slabs(units) for x in unit]
+        self._learn_slabs([[x] for x in [*failed, *(x for x in texts if x not in joined)]])
+
+    def _learn_slabs(self, units: list[list[str]]) -> list[list[str]]:
+        """A few units at a time: what the libraries return for a text takes many times its memory."""
+        out, codes = [], [self.codes]
+        at = len(self.codes)
+        for i in range(0, len(units), SLAB):
+            failed, more = self._learn(units[i : i + SLAB], at)
+            out += failed
+            codes.append(more)
+            at += len(more)
+        self.codes = np.concatenate(codes)
+        return out
+
+    def _learn(self, units: list[list[str]], begins: int) -> tuple[list[list[str]], np.ndarray]:
+        """Align each unit's texts joined; the units that their tokens don't make up, and the codes of the others."""
         texts = ["".join(unit) for unit in units]
         found = self.a.encode_batch(texts, add_special_tokens=False)
         kept, failed, ids, cuts = [], [], ([], []), ([], [])
@@ -159,17 +170,17 @@ class Aligner:
             for side, these, at in zip((0, 1), (ids_a, ids_b), (self.cuts_a(text, a), self.cuts_b(text, b))):
                 ids[side].append(these)
                 cuts[side].append(at)
+        codes = np.empty(0, dtype=np.uint32)
         if kept:
             flat = [x for unit in kept for x in unit]
             lengths = [np.array([len(x.encode("utf-8")) for x in unit]) for unit in kept]
             figures, codes, groups = self._aligned(ids, cuts, np.array([x.sum() for x in lengths]), np.concatenate(lengths))
             at = np.fromiter(map(self.numbers.__getitem__, flat), dtype=np.int64, count=len(flat))
             self.figures[at] = figures
-            self.starts[at] = len(self.codes) + np.cumsum(figures[:, 3]) - figures[:, 3]
-            self.codes = np.concatenate([self.codes, codes])
+            self.starts[at] = begins + np.cumsum(figures[:, 3]) - figures[:, 3]
             for i, group in zip(at.tolist(), groups, strict=True):
                 self.groups[i] = group
-        return failed
+        return failed, codes.astype(np.uint32)
 
     def _aligned(self, ids, cuts, units: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Figures and groups of each text (``lengths`` in bytes) of each unit, and the codes of all their links."""
@@ -219,11 +230,11 @@ class Aligner:
             if not parts or None in groups:
                 rows.append((0, 0, 0, 0, "", None))
             else:
-                rows.append((*self.figures[at].sum(axis=0).tolist(), hashlib.sha256(";".join(groups).encode()).hexdigest(), at))
+                rows.append((*self.figures[at].sum(axis=0, dtype=np.int64).tolist(), hashlib.sha256(";".join(groups).encode()).hexdigest(), at))
                 used.append(at)
         of_all = np.concatenate(used) if used else np.empty(0, dtype=np.int64)
         kinds, times = np.unique(of_all, return_counts=True)
-        sizes = self.figures[kinds, 3]
+        sizes = self.figures[kinds, 3].astype(np.int64)
         starts = self.starts[kinds]
         codes = self.codes[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
         pairs, place = np.unique(codes, return_inverse=True)
@@ -233,7 +244,7 @@ class Aligner:
         for s in new:  # long ones are kept for this chunk alone
             if len(s) > KEPT_LENGTH:
                 del known[s]
-        return out, body, pairs, counts
+        return out, body, pairs.astype(np.int64), counts
 
 
 def _packed(numbers: np.ndarray) -> bytes:
