@@ -13,8 +13,8 @@ components are then compared in blocks, which hold a bounded number of classes a
 outside the first component with every class of another component, on registers and, where these
 make it likely, on full sets. Only links that join components leave the task. No band is capped.
 
-At similarity 0.75 a pair shares no band with a probability of about 2e-5 and is estimated below
-``DOUBT`` with far less; no other link is lost. At 0.3 a pair shares one with a probability of 0.09.
+At similarity 0.75 a pair shares no band with a probability of about 1e-5 and is estimated below
+``DOUBT`` with about 1e-6; no other link is lost.
 
 Defined results: a null or wordless text has no shingles and links with nothing; texts of any length
 are taken whole; a repeated row is reported again; a row without an id links with nothing; an empty
@@ -35,8 +35,8 @@ from tallybrook.llm.shingles import mix, odd_numbers, shingle_sets
 BASE = 1.001
 RATE = 20.0
 TOP = (1 << 16) - 2
-ROWS = 5
-BANDS = 40
+ROWS = 3
+BANDS = 21
 REGISTERS = ROWS * BANDS
 DOUBT = 0.5
 BLOCK = 2048
