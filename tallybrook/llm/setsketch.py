@@ -40,6 +40,7 @@ BANDS = 21
 REGISTERS = ROWS * BANDS
 DOUBT = 0.5
 BLOCK = 2048
+MARKS = 1 << 20
 BLOCK_SHINGLES = 1 << 21
 _STEP = 1 << 10
 _AT_ONCE = 1 << 17
@@ -189,8 +190,11 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     chosen = stored(
         classes.join(members.select("set_key").distinct(), "set_key", "left_semi"), "chosen"
     )
+    # Most texts are no candidates: ``MARKS`` numbers at most, broadcast, keep them out of the shuffle by id.
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("mark")
+    wanted = texts.select("*", mark).join(F.broadcast(chosen.select(mark).distinct()), "mark", "left_semi").drop("mark")
     sets = stored(
-        texts.join(chosen.select("doc_id"), "doc_id", "left_semi").mapInArrow(_full_sets, "set_key binary, shingles binary")
+        wanted.join(chosen.select("doc_id"), "doc_id", "left_semi").mapInArrow(_full_sets, "set_key binary, shingles binary")
         .groupBy("set_key").agg(F.first("shingles").alias("shingles")), "sets",
     )
 
