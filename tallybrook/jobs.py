@@ -25,7 +25,7 @@ from tallybrook.session import build_session
 from tallybrook.sinks.tables import into_folder, overwrite_table, partitioned_export
 from tallybrook.sources import jdbc, kafka, tables
 from tallybrook.sources.tables import matching_tables
-from tallybrook.streaming import envelope, polling, serve, windows
+from tallybrook.streaming import envelope, levels, polling, serve, windows
 from tallybrook.streaming.runner import run_until_stopped, start
 
 
@@ -161,6 +161,10 @@ def stream_messages(spark: SparkSession, args) -> None:
     run_until_stopped(start(parsed, handler, f"{args.out}/_checkpoint", args.interval))
 
 
+def stream_tidy(spark: SparkSession, args) -> None:
+    serve.tidy(spark, args.out, args.fan_out, args.ended)
+
+
 JOBS = {
     "analyze": analyze,
     "export": export,
@@ -169,6 +173,7 @@ JOBS = {
     "poll": poll,
     "poll-ids": poll_ids,
     "stream-serve": stream_serve,
+    "stream-tidy": stream_tidy,
     "stream-windows": stream_windows,
     "stream-messages": stream_messages,
 }
@@ -184,6 +189,8 @@ def parse_arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--interval", type=int, help="seconds between batches; default: drain and end")
     parser.add_argument("--files", type=int, default=1000, help="most files per batch")
     parser.add_argument("--lag", type=int, default=0, help="seconds the poll stays behind the clock")
+    parser.add_argument("--fan-out", type=int, default=levels.FAN_OUT, help="runs of a level that are merged into one (stream-tidy)")
+    parser.add_argument("--ended", action="store_true", help="the stream has ended, its last batch is merged too (stream-tidy)")
     parser.add_argument("--servers", help="message bus servers")
     parser.add_argument("--topic", default="engagement_events")
     parser.add_argument("--starting", default="latest", help="earliest, latest, or offsets per partition as JSON")

@@ -490,3 +490,4 @@ STREAM_SQL = {
         """
     ),
 }
+STREAM_SQL["stream_compacted"] = STREAM_SQL["stream_serving_view"]

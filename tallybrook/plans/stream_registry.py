@@ -96,6 +96,15 @@ def stream_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.where(F.col("key") != "streaming:last_update")
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving view after two rounds of merging, its batches gone."""
+    root = _served(spark, sf_dir)
+    serve.tidy(spark, root, fan_out=2)
+    serve.tidy(spark, root, fan_out=2, ended=True)
+    shown = serve.view(spark, root).drop("written_at", "expires_at")
+    return shown.where(F.col("key") != "streaming:last_update")
+
+
 def stream_window_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "windows")
     drain(event_stream(spark, sf_dir, folder), windows.keep_windows(f"{folder}/out"), f"{folder}/checkpoint")
@@ -188,6 +197,7 @@ STREAM_QUERIES = {
     "stream_totals": over_folder(stream_totals),
     "stream_heartbeat": over_folder(stream_heartbeat),
     "stream_serving_view": over_folder(stream_serving_view),
+    "stream_compacted": over_folder(stream_compacted),
     "stream_window_5m": over_folder(stream_window_5m),
     "stream_window_late": over_folder(stream_window_late),
     "stream_parse_envelope": over_folder(stream_parse_envelope),

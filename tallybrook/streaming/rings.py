@@ -8,6 +8,7 @@ touches what other batches wrote, so a replay or a lost executor cannot damage t
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallybrook.operators.latest import latest_per_key
+from tallybrook.sinks.folders import children, complete_batches, delete
 from tallybrook.sinks.tables import write_batch
 from tallybrook.sources.tables import read_or_empty
 
@@ -88,3 +89,17 @@ def _unlapsed(rows: DataFrame, key: str, ttl_seconds: int, now: Column | None =
         lists = lists.where(F.col("pushed_at") + lifetime > now)
     same = rows[key].eqNullSafe(lists["_key"]) & (rows["written_at"] >= lists["_since"])
     return rows.join(lists, same, "inner").drop("_key")
+
+
+def expire(spark: SparkSession, path: str) -> int:
+    """Delete the segments, bases and marks that neither the last fold nor the one before it needs."""
+    folds = complete_batches(spark, f"{path}/folded")
+    if len(folds) < 2:
+        return 0
+    before = folds[-2]
+    gone = [f"{path}/segments/batch_id={b}" for b in complete_batches(spark, f"{path}/segments") if b <= before]
+    gone += [f"{path}/bases/{name}" for name in children(spark, f"{path}/bases") if int(name) < before]
+    gone += [f"{path}/folded/batch_id={b}" for b in folds if b < before]
+    for folder in gone:
+        delete(spark, folder)
+    return len(gone)

@@ -7,18 +7,19 @@ table per key. Totals, cursors and heartbeats are read from ``progress``, never
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tallybrook.operators.enrich import enrich_events
 from tallybrook.plans import serving
 from tallybrook.plans.serving import CONTENT_RING, HOUR, TYPE_RING
 from tallybrook.sinks.tables import write_batch
-from tallybrook.streaming import rings
+from tallybrook.streaming import levels, rings
 from tallybrook.streaming.runner import Handler, together
 
 RINGS = {"content_id": CONTENT_RING, "event_type": TYPE_RING}
 FOLD_EVERY = 100
-PROGRESS = "event_count bigint, latest_id bigint, updated_at timestamp, batch_id bigint"
+NEVER = (1 << 63) - 1  # behind every batch
+PROGRESS = "event_count bigint, latest_id bigint, updated_at timestamp"
 
 
 def enriched_path(root: str) -> str:
@@ -66,13 +67,17 @@ def serve_events(
 
 
 def read_enriched(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(enriched_path(root)).drop("batch_id")
+    """Every event served; where batches have been merged, of one that came twice the last version."""
+    return levels.read(spark, enriched_path(root)).drop("batch_id")
+
+
+def _batches(spark: SparkSession, root: str) -> DataFrame:
+    return levels.read(spark, f"{root}/progress", schema=PROGRESS)
 
 
 def progress(spark: SparkSession, root: str) -> DataFrame:
     """One row: events so far, highest id, and the last batch's size and time."""
-    batches = spark.read.schema(PROGRESS).parquet(f"{root}/progress")
-    return batches.agg(
+    return _batches(spark, root).agg(
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("total_events"),
         F.coalesce(F.max("latest_id"), F.lit(0)).alias("latest_id"),
         F.max_by("event_count", "batch_id").alias("event_count"),
@@ -84,15 +89,15 @@ def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame
     """The stream's serving keys as a reader sees them at ``now``: events of the last hour, the
     rings that were renewed in time, and the progress keys.
 
-    Batches that have expired are pruned as partitions before their events are read.
+    Batches, and runs of merged ones, that have expired are not opened.
     """
     now = F.current_timestamp() if now is None else now
-    batches = spark.read.schema(PROGRESS).parquet(f"{root}/progress").select("batch_id", "updated_at")
+    batches = _batches(spark, root).select("batch_id", "updated_at")
     recent = batches.where(F.col("updated_at") > now - F.make_dt_interval(secs=F.lit(HOUR)))
-    events = spark.read.parquet(enriched_path(root)).join(recent, "batch_id")
+    first = recent.agg(F.min("batch_id")).first()[0]
+    events = levels.read(spark, enriched_path(root), since=NEVER if first is None else first).join(recent, "batch_id")
     # An event that came in several batches has one key; its last version is shown.
-    versions = Window.partitionBy("id").orderBy(F.desc("batch_id"))
-    events = events.withColumn("_version", F.row_number().over(versions)).where("_version = 1").drop("_version")
+    events = levels.newest_versions(events, "id")
     shown = serving.event_entries(events, F.col("updated_at"))
     shown = shown.unionByName(serving.progress_entries(progress(spark, root)))
     lists = {"content_id": serving.content_ring_entries, "event_type": serving.type_ring_entries}
@@ -100,3 +105,15 @@ def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame
         ring = rings.read(spark, ring_path(root, key), key, RINGS[key], HOUR, now)
         shown = shown.unionByName(as_entries(ring, F.col("pushed_at")))
     return serving.alive(serving.with_expiry(shown), now)
+
+
+def tidy(spark: SparkSession, root: str, fan_out: int = levels.FAN_OUT, ended: bool = False) -> None:
+    """Merge the batches of events and progress, and delete what merged runs and folded rings have replaced.
+
+    Run it beside the stream, one at a time; its readers and the stream go on meanwhile.
+    """
+    for path, key in ((enriched_path(root), "id"), (f"{root}/progress", "batch_id")):
+        levels.compact(spark, path, key, fan_out, ended)
+        levels.expire(spark, path)
+    for key in RINGS:
+        rings.expire(spark, ring_path(root, key))
