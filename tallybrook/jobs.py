@@ -41,7 +41,7 @@ def _content(spark: SparkSession, args):
     if args.url and args.hash:
         return jdbc.read_hashed(spark, _database(args), args.content, args.hash, args.slices)
     if args.url:
-        return jdbc.read_query(spark, _database(args), f"SELECT * FROM {args.content}")
+        return jdbc.read_sliced(spark, _database(args), args.content, "id", args.slices)
     return tables.read_table(spark, args.content)
 
 
@@ -105,7 +105,7 @@ def poll(spark: SparkSession, args) -> None:
     now = datetime.now(timezone.utc) - timedelta(seconds=args.lag)
 
     def deliver(rows, number: int) -> None:
-        jdbc.append(rows, _database(args), "engagement_events_stream")
+        jdbc.append_once(rows, _database(args), "engagement_events_stream", args.out, number, ("id", "updated_at"))
 
     polling.poll_changes(
         spark,

@@ -105,3 +105,27 @@ def merge_user_sketches(sketches: DataFrame, *keys: str) -> DataFrame:
     return sketches.groupBy(*keys).agg(
         F.hll_sketch_estimate(F.hll_union_agg("user_sketch")).alias("unique_users")
     )
+
+
+# Three standard errors of a sketch of 2**12 registers, 1.04 / 64 each.
+SKETCH_ERROR = 0.05
+
+
+def store_user_sketches(events: DataFrame, path: str, *keys: str) -> None:
+    """One sketch per key and day, by month: the users of any range of days follow from these alone.
+
+    An event without a time is on no day. A day is rewritten with its month.
+    """
+    daily = user_sketches(events.withColumn("event_date", F.to_date("event_ts")).where("event_date is not null"), *keys, "event_date")
+    monthly = daily.withColumn("event_month", F.date_format("event_date", "yyyyMM").cast("int"))
+    monthly.repartition("event_month").write.mode("overwrite").partitionBy("event_month").parquet(path)
+
+
+def users_between(sketches: DataFrame, low, high, *keys: str) -> DataFrame:
+    """Different users per key on the days from ``low`` to ``high``, within ``SKETCH_ERROR`` of their number.
+
+    Opens the months of the range only; sketches merge before they are shuffled.
+    """
+    month = lambda day: day.year * 100 + day.month
+    days = sketches.where(F.col("event_month").between(month(low), month(high)) & F.col("event_date").between(F.lit(low), F.lit(high)))
+    return merge_user_sketches(days, *keys)

@@ -491,3 +491,22 @@ STREAM_SQL = {
     ),
 }
 STREAM_SQL["stream_compacted"] = STREAM_SQL["stream_serving_view"]
+BATCH_SQL["users_by_range"] = _over_sources(
+    """
+    SELECT r.first_day, r.last_day, e.event_type, count(DISTINCT e.user_id) AS unique_users, TRUE AS sketch_is_near
+    FROM engagement_events e JOIN (VALUES (DATE '2024-01-01', DATE '2024-01-31'), (DATE '2024-01-08', DATE '2024-01-14'),
+      (DATE '2024-01-15', DATE '2024-01-15')) r(first_day, last_day)
+      ON CAST(e.event_ts AS DATE) BETWEEN r.first_day AND r.last_day
+    WHERE e.user_id IS NOT NULL GROUP BY ALL
+    """
+)
+BATCH_SQL["payload_fields"] = _over_sources(
+    "SELECT id, CAST(json_extract_string(raw_payload, '$.k') AS BIGINT) AS k FROM engagement_events"
+)
+BATCH_SQL["typed_tables"] = _over_sources(
+    """
+    SELECT e.id, e.content_id, e.user_id, e.event_type, e.event_ts, e.duration_ms, coalesce(e.device, 'unknown') AS device,
+      e.raw_payload, CASE WHEN e.device IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE e.updated_at END AS updated_at
+    FROM engagement_events e JOIN content c ON c.id = e.content_id
+    """
+)

@@ -1,15 +1,19 @@
 """Every registered query, over the test tables: name -> (spark, folder) -> DataFrame."""
 
 from datetime import date, datetime, timezone
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybrook.operators import maintain, quality
 from tallybrook.operators import rollup as r
 from tallybrook.operators.enrich import enrich_events, export_rows, next_events
+from tallybrook.operators.keyed_join import keyed_join
 from tallybrook.plans import analysis, reports, serving
 from tallybrook.session import scratch, use_utc
-from tallybrook.sinks.tables import into_folder
+from tallybrook.functions import text
+from tallybrook.sinks.tables import create_table, insert_into, into_folder
 from tallybrook.sources import tables, testdata
 
 WRITTEN_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -227,6 +231,7 @@ def payload_by_slug(content: DataFrame, events: DataFrame) -> DataFrame:
         """
     )
     named = events.select(
+        "id",
         F.concat(F.lit("part-"), F.get_json_object("raw_payload", "$.k")).alias("slug"),
         "event_type",
         "duration_ms",
@@ -234,8 +239,9 @@ def payload_by_slug(content: DataFrame, events: DataFrame) -> DataFrame:
         "raw_payload",
     )
     ids = content.select("slug", F.col("id").alias("content_id"))
-    offered = named.unionByName(inline).withColumn("k", F.get_json_object("raw_payload", "$.k").cast("int"))
-    return offered.join(ids, "slug", "inner").select(
+    k = F.get_json_object("raw_payload", "$.k").try_cast("int")
+    offered = named.unionByName(inline, allowMissingColumns=True).withColumn("k", k)
+    return keyed_join(offered, ids, "slug", "inner").select(
         "content_id", "event_type", "duration_ms", "device", "k"
     )
 
@@ -257,6 +263,46 @@ def incremental_by_updated_at(content: DataFrame, events: DataFrame) -> DataFram
     return export_rows(tables.with_text_ids(once), named)
 
 
+RANGES = ((date(2024, 1, 1), date(2024, 1, 31)), (date(2024, 1, 8), date(2024, 1, 14)), (DAY, DAY))
+
+
+def users_by_range(content: DataFrame, events: DataFrame) -> DataFrame:
+    """Different users per type and range of days, counted, and whether the stored sketches come near that."""
+    path = scratch(events.sparkSession, "user-sketches")
+    r.store_user_sketches(events, path, "event_type")
+    stored = events.sparkSession.read.parquet(path)
+
+    def one(low: date, high: date) -> DataFrame:
+        exact = r.distinct_users(events.where(F.to_date("event_ts").between(F.lit(low), F.lit(high))), "event_type")
+        close = r.users_between(stored, low, high, "event_type").withColumnsRenamed({"event_type": "_type", "unique_users": "_n"})
+        near = F.abs(F.col("_n") - F.col("unique_users")) <= r.SKETCH_ERROR * F.col("unique_users") + 1
+        return exact.join(close, F.col("event_type").eqNullSafe(F.col("_type")), "left").select(
+            F.lit(low).alias("first_day"), F.lit(high).alias("last_day"), "event_type", "unique_users",
+            F.coalesce(near, F.lit(False)).alias("sketch_is_near"))
+
+    return reduce(DataFrame.unionByName, (one(low, high) for low, high in RANGES))
+
+
+def payload_fields(content: DataFrame, events: DataFrame) -> DataFrame:
+    """The payload's fields in the types that all payloads together ask for."""
+    return text.with_variant_fields(events.select("id", "raw_payload"), "raw_payload").drop("raw_payload")
+
+
+def typed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events inserted into a catalogue table by joining them to another one; what an insert leaves out has a default."""
+    items, events = testdata.content(spark, sf_dir), testdata.engagement_events(spark, sf_dir)
+    own = uuid4().hex
+    create_table(spark, f"content_{own}", items.schema)
+    insert_into(items, f"content_{own}")
+    defaults = {"device": "'unknown'", "updated_at": "TIMESTAMP_NTZ '2024-02-01 00:00:00'"}
+    create_table(spark, f"events_{own}", events.schema, defaults=defaults)
+    known = spark.table(f"content_{own}").select(F.col("id").alias("content_id"))
+    named = keyed_join(events, known, "content_id", "inner")
+    insert_into(named.where("device is not null"), f"events_{own}")
+    insert_into(named.where("device is null").drop("device", "updated_at"), f"events_{own}")
+    return spark.table(f"events_{own}")
+
+
 def point_lookup(content: DataFrame, events: DataFrame) -> DataFrame:
     view = serving.event_entries(enrich_events(events, content))
     return serving.lookup(view, "event:76", "event").select("key", "value", "ttl_seconds")
@@ -320,4 +366,7 @@ BATCH_QUERIES = {
     "quality_duplicates": over_folder(quality_duplicates),
     "quality_split": over_folder(quality_split),
     "payload_join_by_slug": over_sources(payload_by_slug),
+    "users_by_range": over_sources(users_by_range),
+    "payload_fields": over_sources(payload_fields),
+    "typed_tables": over_folder(typed_tables),
 }

@@ -36,11 +36,6 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     return target
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """A plain append, for jobs that guard against repeats themselves."""
-    df.write.mode("append").parquet(path)
-
-
 def partitioned_export(df: DataFrame, path: str, ts: str = "event_ts", then: tuple[str, ...] = ("content_id",)) -> None:
     """Partitioned by month and sorted by time in each file.
 
@@ -57,17 +52,29 @@ def partitioned_export(df: DataFrame, path: str, ts: str = "event_ts", then: tup
     )
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType, replace: bool = True) -> None:
-    """An empty typed table in the session catalogue."""
+def create_table(
+    spark: SparkSession, name: str, schema: StructType, replace: bool = True, defaults: dict[str, str] | None = None
+) -> None:
+    """An empty typed table in the session catalogue. ``defaults`` gives columns their value, as SQL, where an
+    insert leaves them out."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, schema=schema, source="parquet")
+    defaults = defaults or {}
+    columns = [
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "") for f in schema
+    ]
+    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet")
 
 
 def insert_into(df: DataFrame, name: str) -> None:
-    """Append to a catalogue table, columns matched by name and cast to the table's types."""
-    target = df.sparkSession.table(name)
-    conform(df, target.schema).write.insertInto(name)
+    """Append to a catalogue table, columns matched by name and cast to the table's types. Columns that ``df``
+    lacks get their default, or null."""
+    spark = df.sparkSession
+    given = StructType([f for f in spark.table(name).schema if f.name in df.columns])
+    unknown = [c for c in df.columns if c not in given.names]
+    if unknown:
+        raise ValueError(f"{name} has no columns {unknown}")
+    spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=conform(df, given))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -117,16 +117,13 @@ def store_events(root: str) -> Handler:
 
 
 def append_events(db: Database, table: str, root: str) -> Handler:
-    """Append a batch's events to a database table; what holds no event goes to ``root/quarantine``.
-
-    An append is not undone when a batch is replayed, so ``(partition, offset)`` identifies the
-    repeats.
-    """
+    """Append a batch's events to a database table, once however often it is replayed; what holds no
+    event goes to ``root/quarantine``. ``root`` names the stream in the table's ledger of batches."""
 
     def handler(parsed: DataFrame, batch_id: int) -> None:
         with held(parsed):
             events, malformed = split_malformed(parsed)
             write_batch(malformed, f"{root}/quarantine", batch_id)
-            jdbc.append(events, db, table)
+            jdbc.append_once(events, db, table, root, batch_id, ("partition", "offset"))
 
     return handler
