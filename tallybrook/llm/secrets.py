@@ -113,21 +113,25 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
 
 def redact(docs: DataFrame, scope: int = SCOPE, mark: str = MARK) -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark``; no row is left out."""
-    key = F.sha2(F.col("text"), 256)
-    rows = docs.where("text is not null").select(key.alias("_key"), "text")
+    # Under names of our own, so that no column of the table's meets one of the search's.
+    own = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
+    body = F.col(own["text"])
+    inner = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in own.items()))
+    key = F.sha2(body, 256)
+    rows = inner.where(body.isNotNull()).select(key.alias("_key"), body.alias("text"))
     hits = _spans(rows, ["_key"], scope).where(F.size("found") > 0).dropDuplicates(["_key"])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, x: Column) -> Column:
         fresh = x["start"] >= done["at"]
-        between = F.substring(F.col("text"), (done["at"] + 1).cast("int"), (x["start"] - done["at"]).cast("int"))
+        between = F.substring(body, (done["at"] + 1).cast("int"), (x["start"] - done["at"]).cast("int"))
         return F.struct(
             F.greatest(done["at"], x["end"]).alias("at"),
             F.when(fresh, F.concat(done["out"], between, F.lit(mark))).otherwise(done["out"]).alias("out"))
 
     def close(done: Column) -> Column:
-        return F.concat(done["out"], F.substring(F.col("text"), (done["at"] + 1).cast("int"), F.length("text")))
+        return F.concat(done["out"], F.substring(body, (done["at"] + 1).cast("int"), F.length(body)))
 
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(F.aggregate("found", start, step, close))
-    joined = docs.withColumn("_key", key).join(hits, "_key", "left")
-    return joined.select(*(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    text = F.when(F.col("found").isNull(), body).otherwise(F.aggregate("found", start, step, close))
+    joined = inner.withColumn("_key", key).join(hits, "_key", "left")
+    return joined.select(*((text if c == "text" else F.col(name)).alias(c) for c, name in own.items()))

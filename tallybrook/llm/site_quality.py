@@ -171,5 +171,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents that are not rejected, with their own columns."""
-    return score_documents(docs, labels, sample).where("_keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are not rejected, with their own columns, whatever their names."""
+    own = {c: c if c in ("doc_id", "text", "source") else f"_in_{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in own.items()))
+    return score_documents(inner, labels, sample).where("_keep").select(*(F.col(name).alias(c) for c, name in own.items()))
