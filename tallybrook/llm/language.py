@@ -34,27 +34,37 @@ def _letters() -> np.ndarray:
 
 
 def gram_buckets(text: str) -> Iterator[np.ndarray]:
-    """The buckets of a text's n-grams, a slice at a time; nothing where it has no letter."""
-    carried = np.array([], dtype=np.uint32)
-    for at in range(0, len(text), SLICE):
-        raw = np.frombuffer(text[at : at + SLICE].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    """The buckets of a text's n-grams, a slice at a time; nothing where it has no letter.
+
+    The last characters of a slice are carried into the next, so slices change no gram.
+    """
+    lowered, waiting = text.lower(), []
+    carried, blank, lettered = np.array([], dtype=np.uint64), False, False
+    for at in range(0, len(lowered), SLICE):
+        raw = np.frombuffer(lowered[at : at + SLICE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         raw = np.where(_letters()[raw], raw, np.uint32(32))
-        keep = np.ones(len(raw), dtype=bool)
-        keep[1:] = (raw[1:] != 32) | (raw[:-1] != 32)
-        raw = raw[keep].astype(np.uint64)
-        if not (raw != 32).any():
-            continue
-        raw = np.concatenate(([32], raw, [32])).astype(np.uint64) if at == 0 else np.concatenate((carried, raw, [32])).astype(np.uint64)
-        carried = np.array([32], dtype=np.uint32)
+        keep = raw != 32
+        lettered = lettered or bool(keep.any())
+        keep[1:] |= raw[:-1] != 32
+        keep[0] |= not blank
+        blank = raw[-1] == 32
+        ends = [32] if at + SLICE >= len(lowered) else []
+        raw = np.concatenate((carried, [] if at else [32], raw[keep], ends)).astype(np.uint64)
         found, total = [], raw * np.uint64(0x9E3779B97F4A7C15)
         for n in ORDERS:
             if n > 1:
                 if len(total) < 2:
                     break
                 total = (total[:-1] * np.uint64(0x100000001B3)) ^ (raw[n - 1 :] * np.uint64(0xC2B2AE3D27D4EB4F))
-            mixed = (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            # Grams that end in what was carried are counted already.
+            fresh = total[max(0, len(carried) - n + 1) :]
+            mixed = (fresh ^ (fresh >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             found.append((mixed >> np.uint64(64 - 15)).astype(np.int32))
-        yield np.concatenate(found)
+        carried = raw[-(max(ORDERS) - 1) :]
+        waiting.append(np.concatenate(found))
+        if lettered:  # slices without a letter leave one blank each at most
+            yield from waiting
+            waiting = []
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
