@@ -1,9 +1,9 @@
 """Secrets in texts, and multipart credentials by an interval join of their parts.
 
 Strong parts are reported wherever they stand: ``assign``, ``access`` and ``hex``. Weak parts, ``ident`` (a
-named account), ``bare`` (a mixed string of 20 to 128 characters, or the value of a key such as secret_access_key) and ``endpoint`` (a URL
-of any scheme, or host and port), are only reported
-where complementary parts lie within ``SCOPE`` code points: a weak identifier or secret beside a strong
+named account), ``bare`` (a mixed string of 20 or more
+characters, or the value of a key such as secret_access_key, dots included) and ``endpoint``
+(a URL of any scheme, or host and port), are only reported where complementary parts lie within ``SCOPE`` code points: a weak identifier or secret beside a strong
 part of the other role, or all three roles together. The parts of a text are joined as intervals by looking, for
 every part, for the nearest part of each role before and behind it, so that no pairs are listed.
 
@@ -22,21 +22,22 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 IDENT = r"""(?i)(?:user(?:_?name|_?id)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
-# The value of a key whose name says that it is secret, or a string in which digits and both cases are mixed, up to padding
-# and the end of a sentence. Only strings of forty characters may begin with a slash, as paths do.
+# The value of a key whose name says that it is secret, or a string in which digits and both cases are mixed, perhaps with
+# long further parts behind dots as signed and encrypted tokens have (three or five in all), up to padding and the end of a
+# sentence. They may be of any length; only strings of forty characters may begin with a slash, as paths do.
 _TOKEN = "[A-Za-z0-9+/_-]"
 _ENDS = r"={0,2}(?![A-Za-z0-9+/_-]|[.=][A-Za-z0-9+/_=-])"
 NAMED = (
     r"""(?<=[:="'\x20])(?<=(?i:(?:secret|private|signing|encryption|account|shared|master|auth)[_-]?(?:access[_-]?)?key|pwd|passphrase)["']{0,1}\x20{0,2}[:=]\x20{0,2}["']{0,1})"""
-    rf"(?={_TOKEN}{{0,127}}[A-Za-z0-9]){_TOKEN}{{8,128}}{_ENDS}")
+    r"(?=[+/_.=-]*[A-Za-z0-9])[A-Za-z0-9+/_.=-]{8,}(?<!\.)")
 MIXED = (
-    rf"(?<![A-Za-z0-9+/_.-])(?={_TOKEN}{{0,127}}[0-9])(?={_TOKEN}{{0,127}}[a-z])(?={_TOKEN}{{0,127}}[A-Z])"
-    rf"(?:[A-Za-z0-9+/]{{40}}|[A-Za-z0-9+]{_TOKEN}{{19,127}}){_ENDS}")
+    rf"(?<![A-Za-z0-9+/_.-])(?={_TOKEN}*[0-9])(?={_TOKEN}*[a-z])(?={_TOKEN}*[A-Z])"
+    rf"(?:[A-Za-z0-9+/]{{40}}|[A-Za-z0-9+]{_TOKEN}{{19,}}(?:\.{_TOKEN}{{16,}}){{0,4}}){_ENDS}")
 BARE = f"(?:{NAMED}|{MIXED})"
 # A URL of any scheme, perhaps with a login, or a host with its port; a key with a number is no host.
 ENDPOINT = (
-    r"""(?:[A-Za-z][A-Za-z0-9+.-]{0,20}://(?:[^\s/@"'<>]{1,200}@)?[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"""
-    r"|(?<![A-Za-z0-9._@:/-])(?:(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z0-9-]{1,63}:[0-9]{2,5}"
+    r"""(?:[A-Za-z][A-Za-z0-9+.-]{0,20}://(?:[^\s/@"'<>]++@)?[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"""
+    r"|(?<![A-Za-z0-9._@:/-])(?:[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z0-9-]+:[0-9]{2,5}"
     r"|(?!(?i:user|login|account|client|access|pass|pwd|secret|token|api|id:|key))[A-Za-z][A-Za-z0-9-]{0,62}:[0-9]{4,5})(?![A-Za-z0-9]))")
 KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("ident", IDENT), ("bare", BARE), ("endpoint", ENDPOINT))
 ROLE = "element_at(array('secret', 'id', 'secret', 'id', 'secret', 'endpoint'), kind + 1)"
