@@ -5,8 +5,9 @@ once each, and a remainder. The remainder goes to documents in ascending order o
 key, -ln(u) over the document's quality weight, with u from a hash of its id, until the words are used up; the document
 in which they end is taken in part. So reruns agree.
 
-A source is never sorted in one task: keys fall into ``SLOTS`` ranges, whose word totals are
-summed first, and documents are only sorted within their range. The table of sources has one row each and
+A source is never sorted in one task: keys fall into ranges, whose word totals are summed first, and documents are
+only sorted within their range. Ranges are even in the key's logarithm, ``FINE`` to a factor of e: whatever the
+weights, a range expects at most 1 / (e * FINE) of a source's documents, about 0.3 %. The table of sources has one row each and
 is the only thing that is ordered as a whole.
 
 Defined results: a null text has size 0; documents of size 0 take nothing; a null source is a source, the last; equal
@@ -20,7 +21,8 @@ from tallybrook.llm.common import WORD, stored
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
-SLOTS = 1024
+FINE = 128
+LEAST_KEY, MOST_KEY = -7, 6
 SEED = 20_011
 
 
@@ -35,6 +37,12 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.05), share * share)
 
 
+def slot_of(key: Column) -> Column:
+    """Keys beyond the logarithms ``LEAST_KEY`` (at most 0.1 % of documents) and ``MOST_KEY`` share the outermost slots."""
+    slot = F.floor((F.log(key) - LEAST_KEY) * FINE)
+    return F.least(F.greatest(slot, F.lit(0)), F.lit((MOST_KEY - LEAST_KEY) * FINE - 1)).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``sizes`` (source, source_size) with ``target``: level by weight, cut at ``most`` times the size.
 
@@ -64,7 +72,7 @@ def mix(
     rows = docs.select(
         *(F.col(f"`{c}`").alias(f"_in_{c}") for c in keep), F.col("doc_id"), F.col("source").cast("string").alias("source"),
         words(text).alias("size"), key.alias("key"),
-    ).withColumn("slot", F.least(F.floor((1 - F.exp(-F.col("key"))) * SLOTS), F.lit(SLOTS - 1)).cast("int"))
+    ).withColumn("slot", slot_of(F.col("key")))
     slots = stored(rows.groupBy("source", "slot").agg(F.sum("size").alias("words")), "slots")
     targets = source_targets(slots.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     earlier = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,7 +100,9 @@ def repeat_documents(docs: DataFrame, **settings) -> DataFrame:
     mixed = mix(docs, keep=tuple(docs.columns), **settings).where("taken > 0")
     text = F.col("_in_text")
     copies, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
-    start = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.greatest(rest, F.lit(1))), " ")
+    gaps = F.split(text, WORD, -1)
+    first = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.greatest(rest, F.lit(1)))
+    start = F.array_join(F.transform(first, lambda word, i: F.concat(F.get(gaps, i), word)), "")
     texts = F.concat(F.array_repeat(text, copies), F.when(rest > 0, F.array(start)).otherwise(F.array().cast("array<string>")))
     out = mixed.withColumn("_text", F.explode(texts))
     return out.select(*((F.col("_text") if c == "text" else F.col(f"`_in_{c}`")).alias(c) for c in docs.columns))
