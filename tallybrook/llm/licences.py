@@ -4,7 +4,8 @@ A text is cut into sentences at line ends, semicolons and full stops before whit
 lowered, everything but ASCII letters and digits becomes one space, and a copyright sentence loses its names
 and years. Known sentences have identifiers of one character; unknown ones become ``-``. A rule is an ordered
 sequence of identifiers, and a text has its licence where the sequence occurs in the text's own one
-without other sentences in between. A long rule's text holds no shorter rule unless it says so itself.
+without other sentences in between. A long rule's text holds no shorter rule unless it says so itself. A reservation of
+all rights right before a grant is the grant's own, and a grant that is denied is none.
 
 Before that, known sentences are put on lines of their own: those of ``SENTENCES`` where they are whole but
 wrapped, those of ``STANDARD`` (the usual wordings of licences and their notices) wherever their words follow one
@@ -67,18 +68,24 @@ MORE = {
     "released under cc0 1 0 universal": "4", "licensed under creative commons attribution noncommercial sharealike 4 0": "5",
     "licensed under creative commons attribution noderivatives 4 0": "6",
     "licensed under creative commons attribution noncommercial noderivatives 4 0": "7",
+    "released under the bsd 2 clause license": "A", "released under the bsd 3 clause license": "B",
 }
 MORE_RULES = (
     ("MIT-0", "fh"), ("BSD-3-Clause", "jklt"), ("BSD-4-Clause", "jklu"), ("GPL-2.0", "v"), ("LGPL-2.0", "8"), ("LGPL-2.1", "w"), ("LGPL-3.0", "x"),
     ("AGPL-3.0", "y"), ("ISC", "z"), ("Unlicense", "0"), ("Zlib", "1"), ("BSL-1.0", "2"), ("CC-BY-SA-4.0", "3"), ("CC0-1.0", "4"),
     ("CC-BY-NC-SA-4.0", "5"), ("CC-BY-ND-4.0", "6"), ("CC-BY-NC-ND-4.0", "7"),
+    ("BSD-2-Clause", "A"), ("BSD-3-Clause", "B"),
 )
 # A sequence that is part of a longer one, by what must not follow: clauses of BSD, and grants after a reservation.
-PART_OF = {"jkl": "[tu]", "ir": "[fjz12]"}
+PART_OF = {"jkl": "[tu]", "ir": "[abcfjmnopqsvwxyz0-8AB]"}
 _GPL = r"(?:this (?:program|library|software|file) )?is free software you can redistribute it and or modify it under the terms of the "
 _BY = r"(?: as published by the free software foundation)?(?: either)?(?: in)? version "
 _LATER = r"(?: of the license)?(?: or at your option any later version)?"
-_CC = r"(?:this work is )?licensed under (?:an? |the )?creative commons attribution "
+# A grant by name, unless it is denied or over.
+_DENIED = r"(?<!\b(?:not|never|nor|longer|formerly|previously)(?:[^A-Za-z0-9]{1,3}(?:be|been|being|yet))?[^A-Za-z0-9]{1,3})"
+_GRANTED = rf"(?=(?:licensed|released|distributed|available|provided|dedicated) ){_DENIED}[A-Za-z]+ under (?:(?:the )?terms (?:and conditions )?of )?(?:an? |the )?"
+_CC = rf"(?:this work is )?{_GRANTED}creative commons attribution "
+_V = "(?:version |v ?)?"
 # Standard wordings, words apart by one blank; the sentence that each stands for.
 STANDARD = (
     (r"permission is hereby granted free of charge to any person obtaining a copy of this software(?: and associated documentation files the software"
@@ -122,10 +129,23 @@ STANDARD = (
         ("", "licensed under creative commons attribution 4 0"), ("non ?commercial ", "licensed under cc by nc 4 0"),
         *((k, f"licensed under creative commons attribution {k}4 0") for k in (
             "sharealike ", "noderivatives ", "noncommercial sharealike ", "noncommercial noderivatives ")))),
-    (r"cc0 1 0 universal", "released under cc0 1 0 universal"),
+    (rf"(?:{_GRANTED}(?:creative commons )?|creative commons legal code )cc0 1 0(?: universal)?", "released under cc0 1 0 universal"),
+    *((f"{_GRANTED}{name}", sentence) for name, sentence in (
+        ("mit licen[sc]e", "licensed under the mit license"), (f"apache (?:software )?licen[sc]e {_V}2 0", "licensed under the apache license version 2 0"),
+        ("(?:new |simplified )?bsd licen[sc]e", "licensed under the bsd license"),
+        *((f"bsd {n} clause(?: licen[sc]e)?", f"released under the bsd {n} clause license") for n in (2, 3)),
+        *((f"(?:gnu )?(?:{kind}general public licen[sc]e|{short}) {_V}{note}(?! [0-9])", f"released under the gnu {kind}general public license version {version}")
+          for kind, short, version, note in (
+            ("", "gpl", "2", "2(?: 0)?"), ("", "gpl", "3", "3(?: 0)?"), ("lesser ", "lgpl", "2 1", "2 1"), ("lesser ", "lgpl", "3", "3(?: 0)?"),
+            ("affero ", "agpl", "3", "3(?: 0)?"))),
+        (f"mozilla public licen[sc]e {_V}2 0", "released under the mozilla public license version 2 0"),
+        ("isc licen[sc]e", "released under the isc license"), ("zlib licen[sc]e", "released under the zlib license"),
+        (f"boost software licen[sc]e {_V}1 0", "released under the boost software license version 1 0"))),
 )
+# The full stop of an initial in a copyright line, which ends no sentence.
+_INITIAL = r"\.(?= +[A-Z][A-Za-z.])(?! +(?i:all) )(?<=(?i:copyright)[^\n\r;]{0,80}\b[A-Z]\.)"
 # Every known sentence that may be wrapped or is in the table above has one of these.
-_ANY = r"(?i)licen|permission|redistribut|software|rights|advertising|mozilla|cc0|creative"
+_ANY = r"(?i)licen|permission|redistribut|software|rights|advertising|mozilla|cc0|creative|gpl|bsd"
 _BETWEEN = "[^A-Za-z0-9]+"
 # The number or letter of a clause, which would be a sentence of its own.
 _ITEM = r"(?:(?<![A-Za-z0-9.])(?:[0-9]{1,2}[.)]|\(?[a-z0-9]\))\s+)?"
@@ -133,7 +153,7 @@ _ITEM = r"(?:(?<![A-Za-z0-9.])(?:[0-9]{1,2}[.)]|\(?[a-z0-9]\))\s+)?"
 
 def _lined(text):
     """``text`` with its known sentences on lines of their own."""
-    out = text
+    out = F.regexp_replace(text, _INITIAL, "")
     for words, sentence in STANDARD:
         # Blanks stand for what lies between words, also where they are optional or belong to a class.
         body = words.replace("[^ ]+", "[A-Za-z0-9]+").replace(" ?", "[^A-Za-z0-9]*").replace(" ", _BETWEEN)
