@@ -102,7 +102,7 @@ def repeat_documents(docs: DataFrame, **settings) -> DataFrame:
     copies, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
     gaps = F.split(text, WORD, -1)
     first = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.greatest(rest, F.lit(1)))
-    start = F.array_join(F.transform(first, lambda word, i: F.concat(F.get(gaps, i), word)), "")
+    start = F.array_join(F.zip_with(F.slice(gaps, 1, F.greatest(rest, F.lit(1))), first, lambda gap, word: F.concat(gap, word)), "")
     texts = F.concat(F.array_repeat(text, copies), F.when(rest > 0, F.array(start)).otherwise(F.array().cast("array<string>")))
     out = mixed.withColumn("_text", F.explode(texts))
     return out.select(*((F.col("_text") if c == "text" else F.col(f"`_in_{c}`")).alias(c) for c in docs.columns))
