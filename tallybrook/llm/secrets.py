@@ -48,9 +48,11 @@ MARK = "[SECRET]"
 def _matches(text: Column, kind: int, pattern: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    parts = F.transform(found, lambda m, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("nth"), F.get(gaps, i).alias("gap"), F.length(m).alias("length"),
-        (F.length(F.regexp_extract(m, pattern, 2)) >= 8 if kind == 0 else F.lit(True)).alias("holds")))
+    # Zipped, as a lambda that looks into an array would cut the text again for each match.
+    pairs = F.filter(F.zip_with(found, gaps, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))), lambda x: x["m"].isNotNull())
+    parts = F.transform(pairs, lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("nth"), x["gap"].alias("gap"), F.length(x["m"]).alias("length"),
+        (F.length(F.regexp_extract(x["m"], pattern, 2)) >= 8 if kind == 0 else F.lit(True)).alias("holds")))
     return F.when(text.rlike(pattern), parts).otherwise(F.array().cast("array<struct<kind:int,nth:int,gap:int,length:int,holds:boolean>>"))
 
 
