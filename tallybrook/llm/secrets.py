@@ -27,8 +27,9 @@ IDENT = r"""(?i)(?:user(?:_?name|_?id)?|login|account|client_?id|access_?key_?id
 # sentence. They may be of any length; only strings of forty characters may begin with a slash, as paths do.
 _TOKEN = "[A-Za-z0-9+/_-]"
 _ENDS = r"={0,2}(?![A-Za-z0-9+/_-]|[.=][A-Za-z0-9+/_=-])"
+# Looks back for the sign alone first, as blanks are many and names cost more.
 NAMED = (
-    r"""(?<=[:="'\x20])(?<=(?i:(?:secret|private|signing|encryption|account|shared|master|auth)[_-]?(?:access[_-]?)?key|pwd|passphrase)["']{0,1}\x20{0,2}[:=]\x20{0,2}["']{0,1})"""
+    r"""(?<=[:="'\x20])(?<=[:=]\x20{0,2}["']{0,1})(?<=(?i:(?:secret|private|signing|encryption|account|shared|master|auth)[_-]?(?:access[_-]?)?key|pwd|passphrase)["']{0,1}\x20{0,2}[:=]\x20{0,2}["']{0,1})"""
     r"(?=[+/_.=-]*[A-Za-z0-9])[A-Za-z0-9+/_.=-]{8,}(?<!\.)")
 MIXED = (
     rf"(?<![A-Za-z0-9+/_.-])(?={_TOKEN}*[0-9])(?={_TOKEN}*[a-z])(?={_TOKEN}*[A-Z])"
