@@ -16,8 +16,9 @@ Defined results: a null, empty or unknown text has no licences and an empty list
 rows are reported each; a rule counts once per text, and licences come in the order of the rules; an empty table gives no rows.
 """
 
+import re
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -147,22 +148,53 @@ _INITIAL = r"\.(?= +[A-Z][A-Za-z.])(?! +(?i:all) )(?<=(?i:copyright)[^\n\r;]{0,8
 # Every known sentence that may be wrapped or is in the table above has one of these.
 _ANY = r"(?i)licen|permission|redistribut|software|rights|advertising|mozilla|cc0|creative|gpl|bsd"
 _BETWEEN = "[^A-Za-z0-9]+"
+# Steps behind one question: Spark resolves nested names one by one, in a hundred rounds at most.
+TOGETHER = 5
 # The number or letter of a clause, which would be a sentence of its own.
 _ITEM = r"(?:(?<![A-Za-z0-9.])(?:[0-9]{1,2}[.)]|\(?[a-z0-9]\))\s+)?"
 
 
-def _lined(text):
-    """``text`` with its known sentences on lines of their own."""
-    out = F.regexp_replace(text, _INITIAL, "")
+def needed(words: str) -> list[str]:
+    """The words that every text with these ``words`` holds, long ones first: none of a group or with a choice in it."""
+    before = None
+    while before != words:
+        before, words = words, re.sub(r"\([^()]*\)(?:[?*+]|\{[0-9,]+\}\??)?", " ", words)
+    return sorted(set(re.findall(r"(?<!\S)[a-z0-9]+(?!\S)", words)), key=lambda x: (-len(x), x))
+
+
+def _steps() -> list[tuple[str, str, str]]:
+    """What is replaced, in this order: the words it needs, the pattern, and what comes in its place."""
+    steps = [("copyright", _INITIAL, "")]
     for words, sentence in STANDARD:
         # Blanks stand for what lies between words, also where they are optional or belong to a class.
         body = words.replace("[^ ]+", "[A-Za-z0-9]+").replace(" ?", "[^A-Za-z0-9]*").replace(" ", _BETWEEN)
-        out = F.regexp_replace(out, f"(?i){_ITEM}(?<![A-Za-z0-9]){body}(?![A-Za-z0-9])", f"\n{sentence}\n")
+        steps.append((words, f"(?i){_ITEM}(?<![A-Za-z0-9]){body}(?![A-Za-z0-9])", f"\n{sentence}\n"))
     for sentence in (*SENTENCES, *MORE):
         if " " in sentence:
             body = sentence.replace(" ", _BETWEEN)
-            out = F.regexp_replace(
-                out, rf"(?i)(?<=^|[\n\r;]|\.\s)[^A-Za-z0-9\n\r;]*{body}[^A-Za-z0-9\n\r;.]*(?=$|[\n\r;]|\.\s|\.$)", f"\n{sentence}\n")
+            steps.append((
+                sentence, rf"(?i)(?<=^|[\n\r;]|\.\s)[^A-Za-z0-9\n\r;]*{body}[^A-Za-z0-9\n\r;.]*(?=$|[\n\r;]|\.\s|\.$)", f"\n{sentence}\n"))
+    return steps
+
+
+def _lined(text):
+    """``text`` with its known sentences on lines of their own.
+
+    Most steps find nothing in most texts. A few neighbouring ones are taken where the text so far has all words that one of
+    them needs, which is a small part of the work of matching.
+    """
+
+    def taken(steps):
+        def where_needed(x):
+            held = reduce(or_, [reduce(and_, [F.contains(F.lower(x), F.lit(w)) for w in needed(words)]) for words, _, _ in steps])
+            return F.when(held, reduce(lambda out, step: F.regexp_replace(out, *step[1:]), steps, x)).otherwise(x)
+
+        return where_needed
+
+    out, steps = text, _steps()
+    for i in range(0, len(steps), TOGETHER):
+        # The text so far gets a name, so that it is computed once for the question and for the replacements.
+        out = F.transform(F.array(out), taken(steps[i : i + TOGETHER]))[0]
     return F.when(text.rlike(_ANY), out).otherwise(text)
 
 
