@@ -9,6 +9,7 @@ from tallybrook.plans import serving
 from tallybrook.plans.registry import over_folder
 from tallybrook.operators.enrich import export_rows
 from tallybrook.session import scratch
+from tallybrook.sinks.folders import data_files
 from tallybrook.sinks.tables import partitioned_export
 from tallybrook.sources import tables, testdata
 from tallybrook.sources.kafka import envelope_files
@@ -17,6 +18,8 @@ from tallybrook.streaming.runner import drain
 
 BATCHES = 4
 PAGE = 40_000
+# Rows of one file of a feed, if a step's rows are even: no task writes or reads a whole step.
+FILE_ROWS = 100_000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,13 +36,17 @@ def in_slices(rows: DataFrame, by: str, path: str, slices: int = BATCHES) -> int
     Every step has the same number of files, which is returned: a stream that takes that many per
     trigger sees one step per batch, and no batch holds rows older than an earlier one.
     """
-    low, high = rows.agg(F.min(by), F.max(by)).first()
+    spark = rows.sparkSession
+    low, high, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     step = (high - low) // slices + 1
-    files = -(-len(rows.inputFiles()) // slices)
+    files = max(-(-len(rows.inputFiles()) // slices), -(-n // (slices * FILE_ROWS)))
     for i in range(slices):
         start = low + i * step
         part = rows.where((F.col(by) >= start) & (F.col(by) < start + step))
         part.repartition(files).write.mode("append").parquet(path)
+        # A step of fewer rows than files lacks some of them.
+        for _ in range(data_files(spark, path), files * (i + 1)):
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(path)
     return files
 
 

@@ -25,6 +25,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.globStatus(where) or [] if f.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> int:
+    """How many files of rows lie right below ``path``."""
+    where, files = _file_system(spark, f"{path}/part-*")
+    return len(files.globStatus(where) or [])
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, files = _file_system(spark, path)
     files.delete(where, True)

@@ -15,20 +15,21 @@ from tallybrook.streaming.runner import Handler
 ENVELOPE = ("kafka_key", "kafka_timestamp", "partition", "offset")
 
 
-def body_fields(body: Column, schema: StructType) -> dict[str, Column]:
-    """Each field of a VARIANT body in its declared type, and ``fault``: what is wrong with the body, null if nothing.
+def body_fields(messages: DataFrame, schema: StructType) -> tuple[DataFrame, Column]:
+    """``messages`` with each field of their VARIANT ``body`` in its declared type, and what is wrong with the body, null if nothing.
 
     A field is read as text and cast, so a number with a fraction or beyond its type's range is a fault and not
-    another number. A field that is absent or JSON null is null.
+    another number. A field that is absent or JSON null is null. Text and value are columns of their own, computed once.
     """
-    texts = {f.name: F.try_variant_get(body, f"$['{f.name}']", "string") for f in schema}
-    typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema}
+    kept = messages.columns
+    text = {f.name: F.col(f"_text_{f.name}") for f in schema}
+    texts = messages.select(*kept, *[F.try_variant_get("body", f"$['{name}']", "string").alias(f"_text_{name}") for name in text])
+    typed = texts.select(*texts.columns, *[text[f.name].try_cast(f.dataType).alias(f.name) for f in schema])
     broken = [
-        F.when(texts[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in schema
+        F.when(text[f.name].isNotNull() & F.col(f.name).isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")) for f in schema
     ]
-    missing = [F.when(texts[name].isNull(), F.lit(f"{name}: missing")) for name in MESSAGE_REQUIRED if name in texts]
-    fault = F.nullif(F.concat_ws("; ", *broken, *missing), F.lit(""))
-    return {**typed, "fault": fault}
+    missing = [F.when(text[name].isNull(), F.lit(f"{name}: missing")) for name in MESSAGE_REQUIRED if name in text]
+    return typed, F.nullif(F.concat_ws("; ", *broken, *missing), F.lit(""))
 
 
 def parse_envelope(
@@ -43,27 +44,24 @@ def parse_envelope(
     text = F.col("json_value")
     # A parser may stop behind the first value; whatever follows it would be lost.
     is_object = F.schema_of_variant("body").startswith("OBJECT") & F.rtrim(text).endswith("}")
-    fields = body_fields(F.col("body"), payload_schema(id_type))
-    fault = fields.pop("fault")
-    return (
-        messages.select(
-            F.col("key").cast("string").alias("kafka_key"),
-            F.col("timestamp").alias("kafka_timestamp"),
-            "partition",
-            "offset",
-            F.col("value").cast("string").alias("json_value"),
-        )
-        .withColumn("body", F.try_parse_json("json_value"))
-        .select(
-            *ENVELOPE,
-            *[column.alias(name) for name, column in fields.items()],
-            processed_at.alias("processed_at"),
-            "json_value",
-            F.when(text.isNull(), F.lit("body: absent"))
-            .when(F.coalesce(is_object, F.lit(False)), fault)
-            .otherwise(F.lit("body: no JSON object"))
-            .alias("fault"),
-        )
+    bodies = messages.select(
+        F.col("key").cast("string").alias("kafka_key"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        "partition",
+        "offset",
+        F.col("value").cast("string").alias("json_value"),
+    ).withColumn("body", F.try_parse_json("json_value"))
+    schema = payload_schema(id_type)
+    fields, fault = body_fields(bodies, schema)
+    return fields.select(
+        *ENVELOPE,
+        *schema.names,
+        processed_at.alias("processed_at"),
+        "json_value",
+        F.when(text.isNull(), F.lit("body: absent"))
+        .when(F.coalesce(is_object, F.lit(False)), fault)
+        .otherwise(F.lit("body: no JSON object"))
+        .alias("fault"),
     )
 
 
