@@ -187,7 +187,7 @@ def poll_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "poll-ids")
     events = _events(spark, sf_dir)
     for there in (events.where("id % 7 <> 3 AND id % 5 <> 1"), events.where("id % 7 <> 3"), events):
-        while polling.poll_ids(there, lambda: _content(spark, sf_dir), root, PAGE):
+        while polling.poll_ids(there, lambda: _content(spark, sf_dir), root, PAGE, backlog=True):
             pass
     return serve.read_enriched(spark, root)
 

@@ -31,6 +31,11 @@ def data_files(spark: SparkSession, path: str) -> int:
     return len(files.globStatus(where) or [])
 
 
+def mark_complete(spark: SparkSession, folder: str) -> None:
+    where, files = _file_system(spark, f"{folder}/_SUCCESS")
+    files.create(where, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, files = _file_system(spark, path)
     files.delete(where, True)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallybrook.schemas import conform
+from tallybrook.sinks.folders import children, delete, mark_complete
 
 
 def overwrite_table(df: DataFrame, path: str, schema: StructType | None = None) -> None:
@@ -36,6 +37,18 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> str:
     return target
 
 
+def write_batches(df: DataFrame, path: str, first: int, last: int) -> None:
+    """Write the batches from ``first`` to ``last``, named by the column ``batch_id``, each into its own partition as
+    ``write_batch`` does. What an attempt that died left from ``first`` on is deleted before."""
+    spark = df.sparkSession
+    for name in children(spark, path):
+        if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) >= first:
+            delete(spark, f"{path}/{name}")
+    df.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").parquet(path)
+    for batch_id in range(first, last + 1):
+        mark_complete(spark, f"{path}/batch_id={batch_id}")
+
+
 def partitioned_export(df: DataFrame, path: str, ts: str = "event_ts", then: tuple[str, ...] = ("content_id",)) -> None:
     """Partitioned by month and sorted by time in each file.
 

@@ -11,6 +11,7 @@ polls. Each row says how many rows its state has: one that was not written to it
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -45,6 +46,7 @@ class Ledger:
 
     served: DataFrame
     batch_id: int | None
+    turn: int = 0
 
     def gaps(self) -> DataFrame:
         """(low, high) between served intervals, both ends included."""
@@ -59,12 +61,12 @@ class Ledger:
 
 def load(spark: SparkSession, path: str) -> Ledger:
     turns = [read_or_empty(spark, f"{path}/turn={i}", STATE) for i in (0, 1)]
-    both = turns[0].unionByName(turns[1])
-    written = both.groupBy("batch_id").agg(F.count("*").alias("n"), F.first("n_rows").alias("n_rows"))
-    last = written.where("n = n_rows").agg(F.max("batch_id")).first()[0]
+    both = reduce(DataFrame.unionByName, [t.withColumn("turn", F.lit(i)) for i, t in enumerate(turns)])
+    written = both.groupBy("batch_id", "turn").agg(F.count("*").alias("n"), F.first("n_rows").alias("n_rows"))
+    last, turn = written.where("n = n_rows").agg(F.max("batch_id"), F.max_by("turn", "batch_id")).first()
     if last is None:
         return Ledger(spark.createDataFrame([], "low bigint, high bigint"), None)
-    return Ledger(turns[last % 2].where(F.col("batch_id") == last).select("low", "high"), last)
+    return Ledger(turns[turn].where(F.col("batch_id") == last).select("low", "high"), last, turn)
 
 
 def advance(spark: SparkSession, path: str, ledger: Ledger, ids: DataFrame, batch_id: int, settle: int | None = None) -> None:
@@ -74,7 +76,9 @@ def advance(spark: SparkSession, path: str, ledger: Ledger, ids: DataFrame, batc
         intervals = intervals.unionByName(spark.sql(f"SELECT {LEAST} + 1 AS low, cast({int(settle)} AS bigint) AS high"))
     state = islands(intervals).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     state = state.withColumn("n_rows", F.count("*").over(Window.partitionBy("batch_id")))
-    state.write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
+    # Never over the state that is read here, also where several batches were served at once.
+    turn = batch_id % 2 if ledger.batch_id is None else 1 - ledger.turn
+    state.write.mode("overwrite").parquet(f"{path}/turn={turn}")
 
 
 def open_condition(ledger: Ledger, ranges: int = RANGES) -> str | None:

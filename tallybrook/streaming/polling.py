@@ -8,13 +8,14 @@ increment is done again and replaces what it had written.
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window, functions as F
 
 from tallybrook.operators.enrich import export_rows
+from tallybrook.session import scratch
 from tallybrook.sinks.tables import write_batch
 from tallybrook.sources.tables import first_by_id, read_or_empty
 from tallybrook.streaming import ledger as served_ids
-from tallybrook.streaming.serve import enriched_path, serve_events
+from tallybrook.streaming.serve import enriched_path, serve_events, serve_pages
 
 CURSOR = "high timestamp, batch_id bigint, recent array<struct<batch_id: bigint, newest: timestamp>>"
 EXPORTED = "id bigint, updated_at timestamp"
@@ -82,17 +83,23 @@ def poll_ids(
     limit: int = 1000,
     page: Callable[[str, int], DataFrame] | None = None,
     settle: int | None = None,
+    backlog: bool = False,
 ) -> int:
     """Serve the next ``limit`` events that no poll has served yet, lowest ids first; return how many there were.
 
     What was served is kept as intervals of ids (``ledger``), so an event committed late, below ids already
     served, is in a later page. ``page(condition, limit)`` reads a page where the source itself can take
     condition, order and limit, e.g. a database. Without ids an event can't be told from others and isn't served here.
+
+    With ``backlog``, all that is unserved is taken at once, numbered and written as pages of ``limit`` events each: the table
+    is read and the ledger advanced once, whatever the number of pages.
     """
     spark = events.sparkSession
     path = f"{root}/ledger"
     ledger = served_ids.load(spark, path)
     number = 0 if ledger.batch_id is None else ledger.batch_id + 1
+    if backlog:
+        return _poll_backlog(served_ids.unserved(events, ledger), content, root, limit, ledger, number, settle)
     condition = served_ids.open_condition(ledger) if page is not None else None
     rows = page(condition, limit) if condition else first_by_id(served_ids.unserved(events, ledger), limit)
     serve_events(content, root)(rows, number)
@@ -103,3 +110,25 @@ def poll_ids(
     if count:
         served_ids.advance(spark, path, ledger, written, number, settle)
     return count
+
+
+def _poll_backlog(
+    events: DataFrame, content: Callable[[], DataFrame], root: str, limit: int, ledger: served_ids.Ledger, number: int, settle: int | None
+) -> int:
+    spark = events.sparkSession
+    path = scratch(spark, "backlog")
+    # Counted within the tasks of a sort, and the rows of the tasks before by a table of one row per task.
+    events.orderBy("id").withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_task", F.shiftright("_at", 33))
+    tasks = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = tasks.withColumn("_begin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    count = tasks.agg(F.sum("_n")).first()[0] or 0
+    if count:
+        place = F.col("_begin") + F.col("_at").bitwiseAND((1 << 33) - 1)
+        pages = rows.join(F.broadcast(begins), "_task").withColumn("batch_id", F.lit(number) + F.floor(place / limit))
+        last = number + (count - 1) // limit
+        serve_pages(content, root)(pages.drop("_task", "_n", "_begin", "_at"), number, last)
+        written = spark.read.parquet(*[f"{enriched_path(root)}/batch_id={n}" for n in range(number, last + 1)])
+        served_ids.advance(spark, f"{root}/ledger", ledger, written, last, settle)
+    return count

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallybrook.operators.latest import latest_per_key
 from tallybrook.sinks.folders import children, complete_batches, delete
-from tallybrook.sinks.tables import write_batch
+from tallybrook.sinks.tables import write_batch, write_batches
 from tallybrook.sources.tables import read_or_empty
 
 
@@ -22,6 +22,14 @@ def push(events: DataFrame, path: str, key: str, n: int, batch_id: int, written_
     write_batch(segment, f"{path}/segments", batch_id)
 
 
+def push_pages(events: DataFrame, path: str, key: str, n: int, first: int, last: int) -> None:
+    """The same for the batches from ``first`` to ``last`` at once, which ``events`` name in ``batch_id``."""
+    if key == "content_id":
+        events = events.where(F.col(key).isNotNull())
+    segments = latest_per_key(events, (key, "batch_id"), n).drop("rank").withColumn("written_at", F.current_timestamp())
+    write_batches(segments, f"{path}/segments", first, last)
+
+
 def fold(spark: SparkSession, path: str, key: str, n: int, ttl_seconds: int, through: int) -> None:
     """Merge everything up to batch ``through`` into a new base. The base counts from the moment
     its row in ``folded`` is there; until then readers use the previous one. A replay of a batch

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tallybrook.operators.enrich import enrich_events
 from tallybrook.plans import serving
 from tallybrook.plans.serving import CONTENT_RING, HOUR, TYPE_RING
-from tallybrook.sinks.tables import write_batch
+from tallybrook.sinks.tables import write_batch, write_batches
 from tallybrook.streaming import levels, rings
 from tallybrook.streaming.runner import Handler, together
 
@@ -66,6 +66,36 @@ def serve_events(
     return handler
 
 
+def serve_pages(
+    content: Callable[[], DataFrame],
+    root: str,
+    ring_sizes: dict[str, int] = RINGS,
+    fold_every: int = FOLD_EVERY,
+) -> Callable[[DataFrame, int, int], None]:
+    """Enrich the batches from ``first`` to ``last``, named by the column ``batch_id``, and write of each what ``serve_events``
+    writes, in a number of jobs that does not depend on how many they are. Rings are folded up to the last batch that asks for it."""
+
+    def handler(pages: DataFrame, first: int, last: int) -> None:
+        spark = pages.sparkSession
+        write_batches(enrich_events(pages, content(), keep=("batch_id",)), enriched_path(root), first, last)
+        written = [f"{enriched_path(root)}/batch_id={n}" for n in range(first, last + 1)]
+        saved = spark.read.option("basePath", enriched_path(root)).parquet(*written)
+        beats = saved.groupBy("batch_id").agg(F.count(F.lit(1)).alias("event_count"), F.max("id").alias("latest_id"))
+        fold_through = (last + 1) // fold_every * fold_every - 1
+
+        def push(key: str, n: int) -> None:
+            path = ring_path(root, key)
+            rings.push_pages(saved, path, key, n, first, last)
+            if fold_through >= first:
+                rings.fold(spark, path, key, n, HOUR, fold_through)
+
+        beats = beats.withColumn("updated_at", F.current_timestamp())
+        writes = [partial(write_batches, beats, f"{root}/progress", first, last)]
+        together(spark, writes + [partial(push, key, n) for key, n in ring_sizes.items()])
+
+    return handler
+
+
 def read_enriched(spark: SparkSession, root: str) -> DataFrame:
     """Every event served; where batches have been merged, of one that came twice the last version."""
     return levels.read(spark, enriched_path(root)).drop("batch_id")
