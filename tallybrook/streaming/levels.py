@@ -2,8 +2,8 @@
 
 A stream writes ``path/batch_id=N``. ``compact`` takes the batches that can no longer be replayed and
 merges them level by level: ``fan_out`` runs of one level become one run of the next, sorted by
-key, of each key only its version from the latest batch. A row is so rewritten once per level, and the
-live runs of n batches are at most ``fan_out`` times log(n).
+key, of each key only its version from the latest batch. A row is so rewritten once per level at most (once
+per compaction, however many levels it rises), and the live runs of n batches are at most ``fan_out`` times log(n).
 
 The **manifest** names the live runs, one small file per version, written as the last step of a
 compaction; a reader follows the newest version and adds the batches behind it. Runs are never changed,
@@ -63,7 +63,9 @@ def live_runs(spark: SparkSession, path: str) -> list[Run]:
 
 def _read(spark: SparkSession, path: str, runs: list[Run], schema: StructType | str) -> DataFrame:
     """The rows of some runs with the ``batch_id`` each came by."""
-    parts = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("bigint"))
+    # Of no rows and no tasks; an empty list would have as many tasks as the session has cores.
+    nothing = spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
+    parts = nothing.withColumn("batch_id", F.lit(0).cast("bigint"))
     merged = [_folder(path, r) for r in runs if r.level > 0]
     if merged:
         parts = parts.unionByName(spark.read.schema(parts.schema).parquet(*merged))
@@ -81,11 +83,19 @@ def _schema(spark: SparkSession, path: str, runs: list[Run]) -> StructType:
 
 
 def read(
-    spark: SparkSession, path: str, key: str | None = None, since: int | None = None, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    key: str | None = None,
+    since: int | None = None,
+    schema: StructType | str | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with their ``batch_id``: of each ``key`` its latest version, or all rows without a key.
 
-    With ``since``, only rows of that batch and later ones; runs that end before it aren't opened.
+    With ``since``, only rows of that batch and later ones; runs that end before it aren't opened. With
+    ``batches``, one small row per ``batch_id``, only rows of those, and what else is known of their batch.
+    The key is the one ``path`` is compacted by: a merged run has each key once, so that a reader who
+    finds everything in one needn't compare versions.
     """
     runs = [r for r in live_runs(spark, path) if since is None or r.last >= since]
     if schema is None:
@@ -97,35 +107,54 @@ def read(
     rows = _read(spark, path, runs, schema)
     if since is not None:
         rows = rows.where(F.col("batch_id") >= since)
-    return rows if key is None else newest_versions(rows, key)
+    if batches is not None:
+        # Batches are few and each holds many rows: rows gathered by batch would be as few tasks as there are batches.
+        rows = rows.join(F.broadcast(batches), "batch_id")
+    one_merged = len(runs) == 1 and runs[0].level > 0
+    return rows if key is None or one_merged else newest_versions(rows, key)
 
 
 def newest_versions(rows: DataFrame, key: str) -> DataFrame:
     """Of each key its row from the latest batch; rows without a key all stay, and aren't gathered."""
+    return _newest(rows.where(F.col(key).isNotNull()), key).unionByName(rows.where(F.col(key).isNull()))
+
+
+def _newest(keyed: DataFrame, key: str) -> DataFrame:
     versions = Window.partitionBy(key).orderBy(F.desc("batch_id"))
-    keyed = rows.where(F.col(key).isNotNull()).withColumn("_version", F.row_number().over(versions))
-    return keyed.where("_version = 1").drop("_version").unionByName(rows.where(F.col(key).isNull()))
+    return keyed.withColumn("_version", F.row_number().over(versions)).where("_version = 1").drop("_version")
+
 
+def _merged(runs: list[Run]) -> Run:
+    """The run that takes the place of neighbours."""
+    name = f"run-{runs[0].first}-{runs[-1].last}-{uuid4().hex[:8]}"
+    return Run(name, max(r.level for r in runs) + 1, runs[0].first, runs[-1].last)
 
-def _merge(spark: SparkSession, path: str, key: str, runs: list[Run]) -> Run:
-    """One run out of several: a single shuffle by ranges of the key serves both the choice and the order."""
-    done = Run(f"run-{runs[0].first}-{runs[-1].last}-{uuid4().hex[:8]}", max(r.level for r in runs) + 1, runs[0].first, runs[-1].last)
+
+def _merge(spark: SparkSession, path: str, key: str, runs: list[Run], done: Run | None = None) -> Run:
+    """One run out of several: a single shuffle by ranges of the key and a single sort serve both the choice and the order."""
+    done = done or _merged(runs)
     rows = _read(spark, path, runs, _schema(spark, path, runs))
-    named, nameless = rows.where(F.col(key).isNotNull()), rows.where(F.col(key).isNull())
-    merged = newest_versions(named.repartitionByRange(key), key).unionByName(nameless)
-    merged.sortWithinPartitions(key).write.mode("overwrite").parquet(_folder(path, done))
+    _sorted_versions(rows, key).write.mode("overwrite").parquet(_folder(path, done))
     return done
 
 
+def _sorted_versions(rows: DataFrame, key: str) -> DataFrame:
+    # The choice leaves its rows in the order of the key. Behind the union that would be forgotten, and sorted again.
+    named = _newest(rows.where(F.col(key).isNotNull()).repartitionByRange(key), key).sortWithinPartitions(key)
+    return named.unionByName(rows.where(F.col(key).isNull()))
+
+
 def compact(spark: SparkSession, path: str, key: str, fan_out: int = FAN_OUT, ended: bool = False) -> list[Run]:
     """Merge as long as ``fan_out`` runs share a level; returns the live runs of the new version.
 
-    The last batch may still be replayed and stays out, unless the stream has ``ended``.
+    The last batch may still be replayed and stays out, unless the stream has ``ended``. A run that would
+    itself be merged at once isn't written: its parts go straight into the run that is left.
     """
     version, before = manifest(spark, path)
     runs = live_runs(spark, path)
     if not ended and runs and runs[-1].level == 0 and runs[-1] not in before:
         runs = runs[:-1]
+    parts = {r: [r] for r in runs}
     while True:
         # Levels never rise along the batches, so runs of one level are neighbours.
         by_level: dict[int, list[Run]] = {}
@@ -135,7 +164,12 @@ def compact(spark: SparkSession, path: str, key: str, fan_out: int = FAN_OUT, en
         if full is None:
             break
         at = runs.index(full[0])
-        runs[at : at + fan_out] = [_merge(spark, path, key, full)]
+        done = _merged(full)
+        parts[done] = [p for r in full for p in parts[r]]
+        runs[at : at + fan_out] = [done]
+    for r in runs:
+        if parts[r] != [r]:
+            _merge(spark, path, key, parts[r], r)
     # Batches that are not merged yet are found by their folders.
     kept = [r for r in runs if r.level > 0]
     if kept != before:

@@ -125,9 +125,8 @@ def view(spark: SparkSession, root: str, now: Column | None = None) -> DataFrame
     batches = _batches(spark, root).select("batch_id", "updated_at")
     recent = batches.where(F.col("updated_at") > now - F.make_dt_interval(secs=F.lit(HOUR)))
     first = recent.agg(F.min("batch_id")).first()[0]
-    events = levels.read(spark, enriched_path(root), since=NEVER if first is None else first).join(recent, "batch_id")
     # An event that came in several batches has one key; its last version is shown.
-    events = levels.newest_versions(events, "id")
+    events = levels.read(spark, enriched_path(root), "id", since=NEVER if first is None else first, batches=recent)
     shown = serving.event_entries(events, F.col("updated_at"))
     shown = shown.unionByName(serving.progress_entries(progress(spark, root)))
     lists = {"content_id": serving.content_ring_entries, "event_type": serving.type_ring_entries}
@@ -142,8 +141,10 @@ def tidy(spark: SparkSession, root: str, fan_out: int = levels.FAN_OUT, ended: b
 
     Run it beside the stream, one at a time; its readers and the stream go on meanwhile.
     """
-    for path, key in ((enriched_path(root), "id"), (f"{root}/progress", "batch_id")):
+
+    def merge(path: str, key: str) -> None:
         levels.compact(spark, path, key, fan_out, ended)
         levels.expire(spark, path)
-    for key in RINGS:
-        rings.expire(spark, ring_path(root, key))
+
+    tables = [partial(merge, enriched_path(root), "id"), partial(merge, f"{root}/progress", "batch_id")]
+    together(spark, tables + [partial(rings.expire, spark, ring_path(root, key)) for key in RINGS])
